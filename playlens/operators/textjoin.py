@@ -28,6 +28,20 @@ def row_count_at_most(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
+def broadcast_if_small(df: DataFrame, known_max: int | None = None,
+                       limit: int = params.BROADCAST_ROW_LIMIT) -> DataFrame:
+    """Mark ``df`` for broadcast when its size is bounded.
+
+    ``known_max`` is a bound the caller proves by construction (for example
+    the output of ``limit(k)``); otherwise the rows are counted, reading at
+    most ``limit + 1`` of them.  Above the bound the frame is returned as is
+    and Spark picks a shuffle join.
+    """
+    if known_max is not None and known_max <= limit:
+        return F.broadcast(df)
+    return F.broadcast(df) if row_count_at_most(df, limit) else df
+
+
 def contains_matches(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str,
                      gram: int = 3, lower: bool = False) -> DataFrame:
     """Distinct ``(text, pattern)`` pairs where ``text`` contains ``pattern``.
@@ -66,11 +80,8 @@ def contains_matches(texts: DataFrame, text_col: str, patterns: DataFrame, patte
             ).alias("_key"),
         )
         grams = one if grams is None else grams.unionByName(one)
-    pats_side = pats
-    if row_count_at_most(pats, params.BROADCAST_ROW_LIMIT):
-        pats_side = F.broadcast(pats)
     return (
-        grams.join(pats_side, ["_g", "_key"])
+        grams.join(broadcast_if_small(pats), ["_g", "_key"])
         .filter(F.col("_tnorm").contains(F.col("_pnorm")))
         .select(F.col("_text").alias(text_col), F.col("_pattern").alias(pattern_col))
         .distinct()

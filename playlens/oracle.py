@@ -89,3 +89,117 @@ SELECT kind, title, views,
        CAST(row_number() OVER (PARTITION BY kind ORDER BY views DESC, title) AS INTEGER) AS rank
 FROM (SELECT kind, title, count(*) AS views FROM titled WHERE date >= {MONTH_CUT} GROUP BY kind, title) v
 """)
+
+TS = "strftime(date, '%Y-%m-%d %H:%M:%S.%f') AS date"
+
+
+def ts(col: str = "date") -> str:
+    return f"strftime({col}, '%Y-%m-%d %H:%M:%S.%f') AS {col}"
+
+
+# ---- log operators --------------------------------------------------------------------------
+register("filter_event_type", f"SELECT id, {TS}, user_id, type, name FROM playback")
+register("filter_denylist", "SELECT id, user_id, name FROM not_denied")
+register("extract_media_name", "SELECT id, user_id, media_name FROM media_events")
+register("split_series", r"""
+SELECT id, regexp_extract(media_name, '^(.*?)\s*-\s*', 1) AS media_name
+FROM media_events WHERE regexp_matches(media_name, '^(.*?)\s*-\s*')""")
+register("split_movies", r"""
+SELECT id, media_name FROM media_events WHERE NOT regexp_matches(media_name, '^(.*?)\s*-\s*')""")
+register("user_history", f"SELECT id, {TS}, media_name FROM media_events WHERE user_id = '1'")
+register("time_range_week", f"""
+SELECT id, {TS}, media_name FROM media_events
+WHERE date >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 WEEK""")
+register("time_range_month", f"""
+SELECT id, {TS}, media_name FROM media_events WHERE date >= {MONTH_CUT}""")
+register("time_range_half_year", f"""
+SELECT id, {TS}, media_name FROM media_events
+WHERE date >= TIMESTAMP '2024-07-15 00:00:00' - INTERVAL 6 MONTH""")
+
+PULL1 = "SELECT * FROM playback_log WHERE date < TIMESTAMP '2024-01-20 00:00:00'"
+PULL2 = "SELECT * FROM playback_log WHERE CAST(date AS DATE) >= DATE '2024-01-18'"
+register("incremental_pull", f"SELECT id, {TS}, name, '2024-01-18' AS pull_from FROM ({PULL2}) p")
+register("high_water_mark", f"""
+SELECT 1 AS pull, count(*) AS rows, max(id) AS mark FROM ({PULL1}) a
+UNION ALL
+SELECT 2 AS pull, count(*) AS rows, max(id) AS mark FROM ({PULL2}) b""")
+register("high_water_filter", f"""
+SELECT id, name FROM ({PULL2}) p WHERE id > (SELECT max(id) FROM ({PULL1}) a)""")
+register("batch_counts", f"""
+SELECT (SELECT count(*) FROM ({PULL2}) p) AS batch_rows,
+       (SELECT count(*) FROM ({PULL2}) p WHERE id > (SELECT max(id) FROM ({PULL1}) a)) AS kept_rows""")
+
+# ---- statistics -----------------------------------------------------------------------------
+register("distinct_titles", "SELECT DISTINCT kind, title FROM titled")
+
+STATS = f"""
+stats AS (
+  SELECT kind, title, views,
+         CAST(row_number() OVER (PARTITION BY kind ORDER BY views DESC, title) AS INTEGER) AS rank
+  FROM (SELECT kind, title, count(*) AS views FROM titled WHERE date >= {MONTH_CUT} GROUP BY kind, title) v
+)"""
+register("series_views", "SELECT title, views, rank FROM stats WHERE kind = 'series'", STATS)
+register("movie_views", "SELECT title, views, rank FROM stats WHERE kind = 'movie'", STATS)
+
+
+def search_ctes(terms: str) -> str:
+    """CTEs ``search`` and ``resolved`` for the distinct, non-null ``term`` column of ``terms``."""
+    return f"""
+search AS (
+  SELECT term, item_id, item_type, item_title, tmdb_id FROM (
+    SELECT s.term, c.item_id, c.type AS item_type, c.title AS item_title, c.tmdb_id,
+           row_number() OVER (PARTITION BY s.term
+                              ORDER BY CASE WHEN lower(c.title) = lower(s.term) THEN 0 ELSE 1 END,
+                                       c.item_id) AS rn
+    FROM (SELECT DISTINCT term FROM {terms} WHERE term IS NOT NULL) s
+    JOIN catalogue c ON contains(lower(c.title), lower(s.term)) AND c.type IN ('Series', 'Movie')
+  ) x WHERE rn = 1
+),
+en_lookup AS (SELECT tmdb_id, min(title) AS en_title FROM english_titles
+              WHERE tmdb_id IS NOT NULL GROUP BY tmdb_id),
+item_genre_str AS (SELECT item_id, string_agg(genre, ', ' ORDER BY genre) AS genres
+                   FROM catalogue_genres GROUP BY item_id),
+resolved AS (
+  SELECT t.term, s.item_id, s.item_type, s.item_title, s.tmdb_id,
+         CASE WHEN s.item_id IS NULL THEN 'no_item'
+              WHEN s.tmdb_id IS NULL OR s.tmdb_id = '' THEN 'no_tmdb_id'
+              WHEN e.en_title IS NULL THEN 'unresolved' ELSE 'ok' END AS status,
+         CASE WHEN s.item_id IS NOT NULL AND s.tmdb_id IS NOT NULL AND s.tmdb_id <> ''
+              THEN coalesce(e.en_title, s.item_title) END AS english_title,
+         coalesce(g.genres, '') AS genres
+  FROM (SELECT DISTINCT term FROM {terms} WHERE term IS NOT NULL) t
+  LEFT JOIN search s ON s.term = t.term
+  LEFT JOIN en_lookup e ON e.tmdb_id = s.tmdb_id
+  LEFT JOIN item_genre_str g ON g.item_id = s.item_id
+)"""
+
+
+STATS_TERMS = STATS + ",\nstat_terms AS (SELECT title AS term FROM stats)," + search_ctes("stat_terms")
+register("view_statistics_english", """
+SELECT st.kind, st.title, st.views, st.rank, r.english_title, r.status
+FROM stats st LEFT JOIN resolved r ON r.term = st.title""", STATS_TERMS)
+register("chart_table", """
+SELECT st.kind AS panel,
+       CASE WHEN st.kind = 'movie' THEN 'Number of views per movie for all users in one month'
+            ELSE 'Number of views per TV series for all users in one month' END AS panel_title,
+       st.rank AS position, coalesce(r.english_title, st.title) AS label, st.views
+FROM stats st LEFT JOIN resolved r ON r.term = st.title""", STATS_TERMS)
+
+# ---- catalogue lookups ----------------------------------------------------------------------
+ALL_TERMS = "all_terms AS (SELECT DISTINCT kind, title, title AS term FROM titled)," + search_ctes("all_terms")
+register("search_catalogue", """
+SELECT a.kind, a.title, s.item_id, s.item_type, s.item_title, s.tmdb_id
+FROM all_terms a LEFT JOIN search s ON s.term = a.term""", ALL_TERMS)
+register("search_status", """
+SELECT a.kind, a.title, r.status, r.english_title
+FROM all_terms a JOIN resolved r ON r.term = a.term""", ALL_TERMS)
+register("english_title_lookup", """
+SELECT c.item_id, c.tmdb_id, coalesce(e.en_title, c.title) AS title, e.en_title IS NOT NULL AS cached
+FROM catalogue c
+LEFT JOIN (SELECT tmdb_id, min(title) AS en_title FROM english_titles GROUP BY tmdb_id) e
+  ON e.tmdb_id = c.tmdb_id
+WHERE c.tmdb_id IS NOT NULL""")
+register("english_title_missing", """
+SELECT c.item_id, c.tmdb_id, c.type FROM catalogue c
+WHERE c.tmdb_id IS NOT NULL AND c.tmdb_id <> ''
+  AND NOT EXISTS (SELECT 1 FROM english_titles e WHERE e.tmdb_id = c.tmdb_id)""")

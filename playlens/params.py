@@ -45,6 +45,6 @@ KIND_SERIES = "series"
 KIND_MOVIE = "movie"
 
 # Upper bound (rows) for sides we broadcast after checking their size.
-BROADCAST_ROW_LIMIT = 1_000_000
+BROADCAST_ROW_LIMIT = 100_000
 # Items per envelope document written by the envelope sink.
 ENVELOPE_PAGE_SIZE = 5_000

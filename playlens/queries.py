@@ -9,7 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from playlens import params
+from playlens.functions.time import ntz_literal, pull_start_date
+from playlens.operators import aggregates as agg
+from playlens.operators import catalogue as cat
+from playlens.operators import events as ev
+from playlens.plans import recommend as rec
 from playlens.plans import statistics as st
 from playlens.sources import tables as tb
 
@@ -70,3 +77,188 @@ class Views:
 def view_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = Views(spark, sf_dir)
     return st.view_statistics(v.log, v.deny, AS_OF_MONTH, "month")
+
+
+# ---- helpers ------------------------------------------------------------------------------
+
+def ts_text(col: str = "date", name: str | None = None):
+    """Timestamps leave the queries as text, so every engine compares the same value."""
+    from pyspark.sql import functions as F
+    return F.date_format(F.col(col), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name or col)
+
+
+def _media(v: Views) -> DataFrame:
+    return ev.media_events(v.log, v.deny)
+
+
+def _titled(v: Views) -> DataFrame:
+    return ev.with_kind(_media(v))
+
+
+def _first_pull(v: Views) -> DataFrame:
+    """The pull before ``AS_OF_PULL``: everything dated before it."""
+    return v.log.filter(F.col("date") < ntz_literal(AS_OF_PULL))
+
+
+def _second_pull(v: Views) -> DataFrame:
+    """The pull at ``AS_OF_PULL``: entries from two days before it on (overlapping)."""
+    return ev.pulled_since(v.log, AS_OF_PULL)
+
+
+# ---- log operators (B1-B12, A10, D4, D9) -----------------------------------------------------
+
+@query
+def filter_event_type(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return ev.filter_event_type(v.log).select("id", ts_text(), "user_id", "type", "name")
+
+
+@query
+def filter_denylist(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return ev.filter_denylist(ev.filter_event_type(v.log), v.deny).select("id", "user_id", "name")
+
+
+@query
+def extract_media_name(spark, sf_dir):
+    return _media(Views(spark, sf_dir)).select("id", "user_id", "media_name")
+
+
+@query
+def split_series(spark, sf_dir):
+    return ev.split_series(_media(Views(spark, sf_dir))).select("id", "media_name")
+
+
+@query
+def split_movies(spark, sf_dir):
+    return ev.split_movies(_media(Views(spark, sf_dir))).select("id", "media_name")
+
+
+@query
+def user_history(spark, sf_dir):
+    media = _media(Views(spark, sf_dir))
+    return ev.user_history(media, USER_ID).select("id", ts_text(), "media_name")
+
+
+def _time_range(spark, sf_dir, as_of, rng):
+    media = _media(Views(spark, sf_dir))
+    return ev.in_time_range(media, as_of, rng).select("id", ts_text(), "media_name")
+
+
+@query
+def time_range_week(spark, sf_dir):
+    return _time_range(spark, sf_dir, AS_OF_WEEK, "week")
+
+
+@query
+def time_range_month(spark, sf_dir):
+    return _time_range(spark, sf_dir, AS_OF_MONTH, "month")
+
+
+@query
+def time_range_half_year(spark, sf_dir):
+    return _time_range(spark, sf_dir, AS_OF_HALF_YEAR, "half_year")
+
+
+@query
+def incremental_pull(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return _second_pull(v).select("id", ts_text(), "name", pull_start_date(AS_OF_PULL).alias("pull_from"))
+
+
+@query
+def high_water_mark(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    parts = []
+    for n, pull in ((1, _first_pull(v)), (2, _second_pull(v))):
+        parts.append(pull.agg(F.lit(n).alias("pull"), F.count(F.lit(1)).alias("rows"),
+                              F.max("id").alias("mark")))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def high_water_filter(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    mark = ev.high_water_mark(_first_pull(v))
+    return ev.high_water_filter(_second_pull(v), mark).select("id", "name")
+
+
+@query
+def batch_counts(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    batch = _second_pull(v)
+    kept = ev.high_water_filter(batch, ev.high_water_mark(_first_pull(v)))
+    return ev.batch_counts(batch, kept)
+
+
+# ---- statistics (D1, D2, F1, P1, P2, P6) ------------------------------------------------------
+
+@query
+def distinct_titles(spark, sf_dir):
+    return agg.distinct_titles(_titled(Views(spark, sf_dir)))
+
+
+def _month_stats(v: Views) -> DataFrame:
+    return st.view_statistics(v.log, v.deny, AS_OF_MONTH, "month")
+
+
+@query
+def series_views(spark, sf_dir):
+    stats = _month_stats(Views(spark, sf_dir))
+    return stats.filter(F.col("kind") == params.KIND_SERIES).select("title", "views", "rank")
+
+
+@query
+def movie_views(spark, sf_dir):
+    stats = _month_stats(Views(spark, sf_dir))
+    return stats.filter(F.col("kind") == params.KIND_MOVIE).select("title", "views", "rank")
+
+
+@query
+def view_statistics_english(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return st.view_statistics_english(_month_stats(v), v.catalogue, v.english)
+
+
+@query
+def chart_table(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    english = st.view_statistics_english(_month_stats(v), v.catalogue, v.english)
+    labels = english.select("kind", "title", F.col("english_title").alias("label"))
+    return st.chart_table(english, labels)
+
+
+# ---- catalogue lookups (C2-C5) ---------------------------------------------------------------
+
+def _searched(v: Views) -> DataFrame:
+    terms = agg.distinct_titles(_titled(v))
+    return terms.join(cat.search_catalogue(terms.select("title"), v.catalogue), "title")
+
+
+@query
+def search_catalogue(spark, sf_dir):
+    return _searched(Views(spark, sf_dir)).select(
+        "kind", "title", "item_id", "item_type", "item_title", "tmdb_id")
+
+
+@query
+def search_status(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return cat.english_titles(_searched(v), v.english).select("kind", "title", "status", "english_title")
+
+
+@query
+def english_title_lookup(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    items = v.catalogue.filter(F.col("tmdb_id").isNotNull())
+    lookup = cat.english_lookup(v.english)
+    return items.join(lookup, "tmdb_id", "left").select(
+        "item_id", "tmdb_id",
+        F.coalesce(F.col("en_title"), F.col("title")).alias("title"),
+        F.col("en_title").isNotNull().alias("cached"))
+
+
+@query
+def english_title_missing(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return cat.missing_english(v.catalogue, v.english).select("item_id", "tmdb_id", "type")
