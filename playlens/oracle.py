@@ -42,6 +42,10 @@ playback_log AS (
          || ' on ' || CASE WHEN e.event_id % 50 = 1 THEN 'HD box' ELSE 'device' END AS name
   FROM events e JOIN catalogue c ON c.item_id = CAST(floor(e.value) AS BIGINT) % 200
 ),
+en_lookup AS (SELECT tmdb_id, min(title) AS en_title FROM english_titles
+              WHERE tmdb_id IS NOT NULL GROUP BY tmdb_id),
+item_genre_str AS (SELECT item_id, string_agg(genre, ', ' ORDER BY genre) AS genres
+                   FROM catalogue_genres GROUP BY item_id),
 denylist AS (SELECT * FROM (VALUES ('CCTV5+'), ('HD')) t(pattern)),
 playback AS (
   SELECT * FROM playback_log WHERE type IN ('VideoPlayback')
@@ -142,10 +146,10 @@ register("series_views", "SELECT title, views, rank FROM stats WHERE kind = 'ser
 register("movie_views", "SELECT title, views, rank FROM stats WHERE kind = 'movie'", STATS)
 
 
-def search_ctes(terms: str) -> str:
-    """CTEs ``search`` and ``resolved`` for the distinct, non-null ``term`` column of ``terms``."""
+def search_ctes(terms: str, p: str = "") -> str:
+    """CTEs ``{p}search`` and ``{p}resolved`` for the distinct, non-null ``term`` column of ``terms``."""
     return f"""
-search AS (
+{p}search AS (
   SELECT term, item_id, item_type, item_title, tmdb_id FROM (
     SELECT s.term, c.item_id, c.type AS item_type, c.title AS item_title, c.tmdb_id,
            row_number() OVER (PARTITION BY s.term
@@ -155,11 +159,7 @@ search AS (
     JOIN catalogue c ON contains(lower(c.title), lower(s.term)) AND c.type IN ('Series', 'Movie')
   ) x WHERE rn = 1
 ),
-en_lookup AS (SELECT tmdb_id, min(title) AS en_title FROM english_titles
-              WHERE tmdb_id IS NOT NULL GROUP BY tmdb_id),
-item_genre_str AS (SELECT item_id, string_agg(genre, ', ' ORDER BY genre) AS genres
-                   FROM catalogue_genres GROUP BY item_id),
-resolved AS (
+{p}resolved AS (
   SELECT t.term, s.item_id, s.item_type, s.item_title, s.tmdb_id,
          CASE WHEN s.item_id IS NULL THEN 'no_item'
               WHEN s.tmdb_id IS NULL OR s.tmdb_id = '' THEN 'no_tmdb_id'
@@ -168,7 +168,7 @@ resolved AS (
               THEN coalesce(e.en_title, s.item_title) END AS english_title,
          coalesce(g.genres, '') AS genres
   FROM (SELECT DISTINCT term FROM {terms} WHERE term IS NOT NULL) t
-  LEFT JOIN search s ON s.term = t.term
+  LEFT JOIN {p}search s ON s.term = t.term
   LEFT JOIN en_lookup e ON e.tmdb_id = s.tmdb_id
   LEFT JOIN item_genre_str g ON g.item_id = s.item_id
 )"""
@@ -203,3 +203,129 @@ register("english_title_missing", """
 SELECT c.item_id, c.tmdb_id, c.type FROM catalogue c
 WHERE c.tmdb_id IS NOT NULL AND c.tmdb_id <> ''
   AND NOT EXISTS (SELECT 1 FROM english_titles e WHERE e.tmdb_id = c.tmdb_id)""")
+
+# ---- genres and the movie recommendation chain ----------------------------------------------
+register("genre_strings", "SELECT item_id, genres FROM item_genre_str")
+register("genres_exploded", "SELECT item_id, genre FROM catalogue_genres")
+
+
+def top_tail(p: str, counts: str, item_type: str) -> str:
+    """CTEs from genre counts to the top-3 titles: ``{p}top3 {p}ids {p}tbg {p}hits {p}top_titles``."""
+    return f"""
+{p}top3 AS (
+  SELECT genre, counts, CAST(row_number() OVER (ORDER BY counts DESC, genre) AS INTEGER) AS rank
+  FROM {counts} ORDER BY counts DESC, genre LIMIT 3
+),
+{p}ids AS (SELECT name, id FROM genre_lookup WHERE name IN (SELECT genre FROM {p}top3)),
+{p}tbg AS (
+  SELECT i.id AS genre_id, c.item_id, c.title
+  FROM {p}ids i JOIN catalogue_genres g ON g.genre = i.name JOIN catalogue c ON c.item_id = g.item_id
+  WHERE c.type = '{item_type}'
+),
+{p}hits AS (SELECT title, count(*) AS hits FROM {p}tbg GROUP BY title),
+{p}top_titles AS (
+  SELECT title, hits, CAST(row_number() OVER (ORDER BY hits DESC, title) AS INTEGER) AS rank
+  FROM {p}hits ORDER BY hits DESC, title LIMIT 3
+),
+{p}top_terms AS (SELECT title AS term FROM {p}top_titles),""" + search_ctes(f"{p}top_terms", f"{p}d_")
+
+
+MOVIES = (
+    "user_movies AS (SELECT DISTINCT title AS term FROM titled WHERE user_id = '1' AND kind = 'movie'),"
+    + search_ctes("user_movies", "m_") + """,
+m_usable AS (SELECT * FROM m_resolved WHERE status IN ('ok', 'unresolved')),
+m_counts AS (SELECT g.genre, count(*) AS counts
+             FROM m_usable u JOIN catalogue_genres g ON g.item_id = u.item_id GROUP BY g.genre),"""
+    + top_tail("m_", "m_counts", "Movie")
+)
+register("genre_counts_movies", "SELECT genre, counts FROM m_counts", MOVIES)
+register("top3_genres", "SELECT genre, counts, rank FROM m_top3", MOVIES)
+register("genre_ids", "SELECT name, id FROM m_ids", MOVIES)
+register("titles_by_genre_movie", "SELECT genre_id, item_id, title FROM m_tbg", MOVIES)
+register("genre_hit_counts", "SELECT title, hits FROM m_hits", MOVIES)
+register("top3_titles", "SELECT title, hits, rank FROM m_top_titles", MOVIES)
+register("recommend_details", """
+SELECT t.rank, t.title, r.item_id, r.english_title, r.status, r.genres
+FROM m_top_titles t LEFT JOIN m_d_resolved r ON r.term = t.title""", MOVIES)
+register("recommend_movies", """
+SELECT t.rank, coalesce(r.english_title, t.title) AS title, coalesce(r.genres, '') AS genres, t.hits
+FROM m_top_titles t LEFT JOIN m_d_resolved r ON r.term = t.title""", MOVIES)
+
+
+# ---- FP-Growth, exactly, with genre sets as bit masks -----------------------------------------
+def fp_ctes(p: str, baskets: str) -> str:
+    """Frequent sets, rules and predictions over ``baskets(key, s)`` (``s`` a genre bit mask).
+
+    Support 0.1 and confidence 0.2; ``{p}n`` counts the non-null baskets.
+    """
+    return f"""
+{p}n AS (SELECT count(*) AS n FROM {baskets}),
+{p}masks AS (SELECT unnest(range(1, (SELECT (1 << count(*)) FROM genre_bits))) AS m),
+{p}freq AS (
+  SELECT k.m, count(*) AS freq FROM {p}masks k JOIN {baskets} b ON (b.s & k.m) = k.m
+  GROUP BY k.m HAVING count(*) >= ceil(0.1 * (SELECT n FROM {p}n))
+),
+{p}rules AS (
+  SELECT f.m & ~(1 << g.bit) AS ante, g.bit AS cbit, g.name AS consequent,
+         CAST(f.freq AS DOUBLE) / a.freq AS confidence,
+         (CAST(f.freq AS DOUBLE) / a.freq) / (CAST(c.freq AS DOUBLE) / (SELECT n FROM {p}n)) AS lift,
+         CAST(f.freq AS DOUBLE) / (SELECT n FROM {p}n) AS support
+  FROM {p}freq f
+  JOIN genre_bits g ON (f.m >> g.bit) & 1 = 1
+  JOIN {p}freq a ON a.m = (f.m & ~(1 << g.bit))
+  JOIN {p}freq c ON c.m = (1 << g.bit)
+  WHERE bit_count(f.m) >= 2 AND CAST(f.freq AS DOUBLE) / a.freq >= 0.2
+),
+{p}pred AS (
+  SELECT b.key, string_agg(DISTINCT r.consequent, ', ' ORDER BY r.consequent) AS prediction
+  FROM {baskets} b JOIN {p}rules r ON (b.s & r.ante) = r.ante AND ((b.s >> r.cbit) & 1) = 0
+  GROUP BY b.key
+)"""
+
+
+def mask_text(mask: str) -> str:
+    return (f"(SELECT coalesce(string_agg(g.name, ', ' ORDER BY g.name), '') FROM genre_bits g "
+            f"WHERE (({mask}) >> g.bit) & 1 = 1)")
+
+
+GENRE_BITS = "genre_bits AS (SELECT name, CAST(id - 7501 AS INTEGER) AS bit FROM genre_lookup),"
+ITEM_FP = GENRE_BITS + """
+item_baskets AS (
+  SELECT cg.item_id AS key, bit_or(1 << g.bit) AS s
+  FROM catalogue_genres cg JOIN genre_bits g ON g.name = cg.genre GROUP BY cg.item_id
+),""" + fp_ctes("i_", "item_baskets")
+register("freq_itemsets", f"SELECT {mask_text('f.m')} AS items, f.freq FROM i_freq f", ITEM_FP)
+register("association_rules", f"""
+SELECT {mask_text('r.ante')} AS antecedent, r.consequent, round(r.confidence, 9) AS confidence,
+       round(r.lift, 9) AS lift, round(r.support, 9) AS support
+FROM i_rules r""", ITEM_FP)
+register("rule_predictions", """
+SELECT c.item_id, coalesce(gs.genres, '') AS basket, coalesce(p.prediction, '') AS prediction
+FROM catalogue c
+LEFT JOIN item_genre_str gs ON gs.item_id = c.item_id
+LEFT JOIN i_pred p ON p.key = c.item_id""", ITEM_FP)
+register("predicted_genres", """
+SELECT p.key AS item_id, unnest(string_split(p.prediction, ', ')) AS genre FROM i_pred p""", ITEM_FP)
+
+SERIES = (
+    "user_series AS (SELECT DISTINCT title AS term FROM titled WHERE user_id = '1' AND kind = 'series'),"
+    + search_ctes("user_series", "s_") + """,
+s_hist AS (SELECT english_title AS Title, min(genres) AS Genres FROM s_resolved
+           WHERE status IN ('ok', 'unresolved') GROUP BY english_title),
+""" + GENRE_BITS + """
+s_baskets AS (
+  SELECT h.Title AS key, bit_or(1 << g.bit) AS s
+  FROM s_hist h, unnest(string_split(h.Genres, ', ')) AS x(genre)
+  JOIN genre_bits g ON g.name = x.genre GROUP BY h.Title
+),""" + fp_ctes("s_", "s_baskets") + """,
+s_counts AS (
+  SELECT genre, count(*) AS counts
+  FROM (SELECT unnest(string_split(prediction, ', ')) AS genre FROM s_pred) x GROUP BY genre
+),""" + top_tail("s_", "s_counts", "Series")
+)
+register("dedup_titles_user", "SELECT Title, Genres FROM s_hist", SERIES)
+register("predicted_genre_counts", "SELECT genre, counts FROM s_counts", SERIES)
+register("titles_by_genre_series", "SELECT genre_id, item_id, title FROM s_tbg", SERIES)
+register("recommend_series", """
+SELECT t.rank, coalesce(r.english_title, t.title) AS title, coalesce(r.genres, '') AS genres, t.hits
+FROM s_top_titles t LEFT JOIN s_d_resolved r ON r.term = t.title""", SERIES)

@@ -16,6 +16,7 @@ from playlens.functions.time import ntz_literal, pull_start_date
 from playlens.operators import aggregates as agg
 from playlens.operators import catalogue as cat
 from playlens.operators import events as ev
+from playlens.operators import rules
 from playlens.plans import recommend as rec
 from playlens.plans import statistics as st
 from playlens.sources import tables as tb
@@ -262,3 +263,162 @@ def english_title_lookup(spark, sf_dir):
 def english_title_missing(spark, sf_dir):
     v = Views(spark, sf_dir)
     return cat.missing_english(v.catalogue, v.english).select("item_id", "tmdb_id", "type")
+
+
+# ---- genres and the movie recommendation chain (D5, D8, D10, F2-F4, C4-C6, P3) --------------
+
+@query
+def genre_strings(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return agg.sorted_genre_string(v.genres, "item_id")
+
+
+@query
+def genres_exploded(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    strings = agg.sorted_genre_string(v.genres, "item_id", out="Genres")
+    return agg.explode_genres(strings, "Genres").select("item_id", "genre")
+
+
+def _user_movies(v: Views) -> DataFrame:
+    titles = rec.user_titles(_media(v), USER_ID, params.KIND_MOVIE)
+    return rec.usable(rec.resolve_titles(titles, v.catalogue, v.english, v.genres))
+
+
+def _movie_top_genres(v: Views) -> DataFrame:
+    return rec.top_genres(rec.genre_counts(_user_movies(v)))
+
+
+@query
+def genre_counts_movies(spark, sf_dir):
+    return rec.genre_counts(_user_movies(Views(spark, sf_dir)))
+
+
+@query
+def top3_genres(spark, sf_dir):
+    return _movie_top_genres(Views(spark, sf_dir)).select("genre", "counts", "rank")
+
+
+@query
+def genre_ids(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return cat.genre_ids(_movie_top_genres(v), v.genre_lookup, known_max=params.TOP_GENRES)
+
+
+@query
+def titles_by_genre_movie(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    ids = cat.genre_ids(_movie_top_genres(v), v.genre_lookup, known_max=params.TOP_GENRES)
+    return cat.titles_by_genres(ids, v.genre_lookup, v.genres, v.catalogue, "Movie",
+                                known_max=params.TOP_GENRES)
+
+
+def _movie_hits(v: Views) -> DataFrame:
+    return rec.genre_hits(_movie_top_genres(v), v.genre_lookup, v.genres, v.catalogue, "Movie")
+
+
+@query
+def genre_hit_counts(spark, sf_dir):
+    return _movie_hits(Views(spark, sf_dir))
+
+
+@query
+def top3_titles(spark, sf_dir):
+    return rec.top_titles(_movie_hits(Views(spark, sf_dir))).select("title", "hits", "rank")
+
+
+@query
+def recommend_details(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    top = rec.top_titles(_movie_hits(v))
+    details = rec.resolve_titles(top.select("title"), v.catalogue, v.english, v.genres)
+    return top.join(details, "title", "left").select(
+        "rank", "title", "item_id", "english_title", "status",
+        F.array_join("genres", params.GENRE_SEPARATOR).alias("genres"))
+
+
+@query
+def recommend_movies(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return rec.recommend_movies(_media(v), v.catalogue, v.english, v.genres, v.genre_lookup, USER_ID)
+
+
+# ---- FP-Growth over genre baskets (E1-E4) and the series chain (D6, J7, P4) -----------------
+
+def _item_baskets(v: Views) -> DataFrame:
+    """Every catalogue item's genres as a basket; items without genres get a null basket."""
+    genres = cat.item_genres(v.genres)
+    return v.catalogue.select("item_id").join(genres, "item_id", "left").select(
+        "item_id", F.col("genres").alias("basket"))
+
+
+def _item_model(v: Views):
+    return rules.fit_rules(_item_baskets(v))
+
+
+def _set_text(col: str):
+    return F.coalesce(F.array_join(F.sort_array(F.col(col)), params.GENRE_SEPARATOR), F.lit(""))
+
+
+@query
+def freq_itemsets(spark, sf_dir):
+    items = rules.freq_itemsets(_item_model(Views(spark, sf_dir)))
+    return items.select(_set_text("items").alias("items"), "freq")
+
+
+@query
+def association_rules(spark, sf_dir):
+    r = rules.association_rules(_item_model(Views(spark, sf_dir)))
+    return r.select(_set_text("antecedent").alias("antecedent"), "consequent",
+                    F.round("confidence", 9).alias("confidence"), F.round("lift", 9).alias("lift"),
+                    F.round("support", 9).alias("support"))
+
+
+@query
+def rule_predictions(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    baskets = _item_baskets(v)
+    predicted = rules.predict(_item_model(v), baskets)
+    return predicted.select("item_id", _set_text("basket").alias("basket"),
+                            _set_text("prediction").alias("prediction"))
+
+
+@query
+def predicted_genres(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    baskets = _item_baskets(v)
+    return rules.predicted_genres(rules.predict(_item_model(v), baskets), ["item_id"])
+
+
+def _user_series_baskets(v: Views) -> DataFrame:
+    titles = rec.user_titles(_media(v), USER_ID, params.KIND_SERIES)
+    resolved = rec.resolve_titles(titles, v.catalogue, v.english, v.genres)
+    return rec.series_baskets(rec.series_history(resolved))
+
+
+def _series_top_genres(v: Views) -> DataFrame:
+    return rec.top_genres(rec.predicted_genre_counts(_user_series_baskets(v)))
+
+
+@query
+def dedup_titles_user(spark, sf_dir):
+    return _user_series_baskets(Views(spark, sf_dir)).select("Title", "Genres")
+
+
+@query
+def predicted_genre_counts(spark, sf_dir):
+    return rec.predicted_genre_counts(_user_series_baskets(Views(spark, sf_dir)))
+
+
+@query
+def titles_by_genre_series(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    ids = cat.genre_ids(_series_top_genres(v), v.genre_lookup, known_max=params.TOP_GENRES)
+    return cat.titles_by_genres(ids, v.genre_lookup, v.genres, v.catalogue, "Series",
+                                known_max=params.TOP_GENRES)
+
+
+@query
+def recommend_series(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return rec.recommend_series(_media(v), v.catalogue, v.english, v.genres, v.genre_lookup, USER_ID)
