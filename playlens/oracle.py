@@ -329,3 +329,63 @@ register("titles_by_genre_series", "SELECT genre_id, item_id, title FROM s_tbg",
 register("recommend_series", """
 SELECT t.rank, coalesce(r.english_title, t.title) AS title, coalesce(r.genres, '') AS genres, t.hits
 FROM s_top_titles t LEFT JOIN s_d_resolved r ON r.term = t.title""", SERIES)
+
+# ---- sources and sinks ------------------------------------------------------------------------
+PULLS = """
+bounds AS (SELECT min(id) AS lo, max(id) AS hi FROM playback_log),
+pos AS (
+  SELECT l.id, CAST(l.id - b.lo AS DOUBLE) AS pos, CAST(b.hi - b.lo + 1 AS DOUBLE) / 4 AS width
+  FROM playback_log l, bounds b
+),
+kk AS (SELECT id, pos, width, CAST(least(floor(pos / width), 3) AS INTEGER) AS k FROM pos),
+pulls AS (
+  SELECT id, k + 1 AS pull FROM kk
+  UNION ALL
+  SELECT id, k + 2 AS pull FROM kk WHERE k + 1 <= 3 AND pos >= (k + 1) * width - 0.1 * width
+)"""
+register("pack_envelope", """
+SELECT lpad(CAST(pull AS VARCHAR), 2, '0') AS file_no, count(DISTINCT floor(id / 5000)) AS documents,
+       count(*) AS items, count(*) AS total_record_count
+FROM pulls GROUP BY pull""", PULLS)
+register("flatten_log", f"SELECT id, {TS}, user_id, type, name FROM playback_log")
+register("item_names", "SELECT name FROM playback_log")
+register("provider_id", "SELECT item_id, coalesce(tmdb_id, '') AS tmdb FROM catalogue")
+
+HALVES = """
+old_half AS (SELECT * FROM titled WHERE date < TIMESTAMP '2024-01-20 00:00:00'),
+new_half AS (SELECT * FROM titled WHERE date >= TIMESTAMP '2024-01-20 00:00:00'),
+old_series AS (SELECT DISTINCT title AS term FROM old_half WHERE kind = 'series'),
+new_series AS (SELECT DISTINCT title AS term FROM new_half WHERE kind = 'series'),
+old_movies AS (SELECT DISTINCT title AS term FROM old_half WHERE kind = 'movie'),
+new_movies AS (SELECT DISTINCT title AS term FROM new_half WHERE kind = 'movie'),""" + ",".join([
+    search_ctes("old_series", "os_"), search_ctes("new_series", "ns_"),
+    search_ctes("old_movies", "om_"), search_ctes("new_movies", "nm_")]) + """,
+os_hist AS (SELECT english_title AS Title, min(genres) AS Genres FROM os_resolved
+            WHERE status IN ('ok', 'unresolved') GROUP BY english_title),
+ns_hist AS (SELECT english_title AS Title, min(genres) AS Genres FROM ns_resolved
+            WHERE status IN ('ok', 'unresolved') GROUP BY english_title),
+half_counts AS (
+  SELECT g.genre, count(*) AS counts FROM om_resolved u JOIN catalogue_genres g ON g.item_id = u.item_id
+  WHERE u.status IN ('ok', 'unresolved') GROUP BY g.genre
+  UNION ALL
+  SELECT g.genre, count(*) AS counts FROM nm_resolved u JOIN catalogue_genres g ON g.item_id = u.item_id
+  WHERE u.status IN ('ok', 'unresolved') GROUP BY g.genre
+)"""
+register("union_history", f"""
+SELECT {TS}, media_name FROM media_events WHERE date >= {MONTH_CUT}""")
+register("dedup_titles", """
+SELECT Title, Genres FROM os_hist
+UNION ALL
+SELECT Title, Genres FROM ns_hist WHERE Title NOT IN (SELECT Title FROM os_hist)""", HALVES)
+register("merge_genre_counts", """
+SELECT genre, CAST(sum(counts) AS BIGINT) AS counts FROM half_counts GROUP BY genre""", HALVES)
+register("history_or_empty", "SELECT Title, Genres FROM os_hist", HALVES)
+register("csv_roundtrip", "SELECT kind, title, views, rank FROM stats", STATS)
+register("denylist_scan", """
+SELECT d.pattern, count(*) AS hits FROM playback p JOIN denylist d ON contains(p.name, d.pattern)
+GROUP BY d.pattern""")
+register("title_cache_append", """
+SELECT tmdb_id, title FROM english_titles
+UNION ALL
+SELECT DISTINCT ON (tmdb_id) tmdb_id, item_title AS title FROM resolved WHERE status = 'unresolved'
+""", ALL_TERMS)

@@ -19,6 +19,10 @@ from playlens.operators import events as ev
 from playlens.operators import rules
 from playlens.plans import recommend as rec
 from playlens.plans import statistics as st
+from playlens.operators.textjoin import contains_matches
+from playlens.schemas import ENGLISH_TITLES, TITLE_GENRES
+from playlens.session import scratch_path
+from playlens.sources import csvio, envelope
 from playlens.sources import tables as tb
 
 # ---- fixture parameters (FIXTURES.md §3) --------------------------------------------
@@ -27,6 +31,9 @@ AS_OF_WEEK = "2024-01-31 00:00:00"
 AS_OF_HALF_YEAR = "2024-07-15 00:00:00"
 AS_OF_PULL = "2024-01-20 00:00:00"
 USER_ID = "1"
+HISTORY_SPLIT = "2024-01-20 00:00:00"   # stored history before it, new batch from it
+STATS_CSV = "kind string, title string, views bigint, rank int"
+CATALOGUE_ITEM = "Id bigint, Name string, Type string, Genres array<string>, ProviderIds map<string,string>"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -422,3 +429,139 @@ def titles_by_genre_series(spark, sf_dir):
 def recommend_series(spark, sf_dir):
     v = Views(spark, sf_dir)
     return rec.recommend_series(_media(v), v.catalogue, v.english, v.genres, v.genre_lookup, USER_ID)
+
+
+# ---- sources and sinks (A1-A8, B1-B4, B15, D3, D7, G1-G3, H14-H16) ----------------------------
+
+def _scratch(spark, name: str) -> str:
+    return scratch_path(spark, name)
+
+
+def _written_log(spark, v: Views) -> str:
+    """The whole playback log written as envelope files (one pull); returns their folder."""
+    root = _scratch(spark, "envelopes")
+    return envelope.write_envelopes(envelope.pack_envelopes(v.log).drop("pull", "page"), root, 1)
+
+
+@query
+def pack_envelope(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    root = _scratch(spark, "pulls")
+    envelope.write_pulls(envelope.assign_pulls(v.log), root)
+    docs = envelope.read_envelopes(spark, f"{root}/{envelope.FILE_PREFIX}_*").select(
+        F.input_file_name().alias("file"), "TotalRecordCount", F.size("Items").alias("n"))
+    return envelope.file_numbers(docs).groupBy("file_no").agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.sum("n").cast("bigint").alias("items"),
+        F.sum("TotalRecordCount").cast("bigint").alias("total_record_count"))
+
+
+@query
+def flatten_log(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    env = envelope.read_envelopes(spark, _written_log(spark, v))
+    return ev.flatten_log(env).select("id", ts_text(), "user_id", "type", "name")
+
+
+@query
+def item_names(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return ev.item_names(envelope.read_envelopes(spark, _written_log(spark, v)))
+
+
+@query
+def provider_id(spark, sf_dir):
+    """Catalogue items as JSON documents, parsed back; the provider id read from the map."""
+    from playlens.functions.text import provider_id as pid
+    v = Views(spark, sf_dir)
+    ids = F.when(F.col("tmdb_id").isNotNull(), F.create_map(F.lit("Tmdb"), F.col("tmdb_id"))) \
+        .otherwise(F.create_map().cast("map<string,string>"))
+    docs = v.catalogue.select(F.to_json(F.struct(
+        F.col("item_id").alias("Id"), F.col("title").alias("Name"), F.col("type").alias("Type"),
+        ids.alias("ProviderIds"))).alias("json"))
+    parsed = docs.select(F.from_json("json", CATALOGUE_ITEM).alias("item")).select("item.*")
+    return parsed.select(F.col("Id").alias("item_id"), pid("ProviderIds").alias("tmdb"))
+
+
+def _split_day(v: Views):
+    """Media events before / from ``HISTORY_SPLIT``: stored history and new batch."""
+    media = _media(v)
+    cut = ntz_literal(HISTORY_SPLIT)
+    return media.filter(F.col("date") < cut), media.filter(F.col("date") >= cut)
+
+
+@query
+def union_history(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    old, new = _split_day(v)
+    history = old.select("date", "media_name")          # the state keeps two columns
+    merged = agg.union_history(history, new)
+    return ev.in_time_range(merged, AS_OF_MONTH, "month").select(ts_text(), "media_name")
+
+
+def _half_titles(v: Views, half: DataFrame, kind: str) -> DataFrame:
+    titles = ev.with_kind(half).filter(F.col("kind") == kind).select("title").distinct()
+    return rec.resolve_titles(titles, v.catalogue, v.english, v.genres)
+
+
+@query
+def dedup_titles(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    old, new = _split_day(v)
+    path = _scratch(spark, "series_genres")
+    first = rec.series_history(_half_titles(v, old, params.KIND_SERIES))
+    csvio.write_csv(first, path)
+    history = csvio.read_or_empty(spark, path, TITLE_GENRES)
+    return rec.series_history(_half_titles(v, new, params.KIND_SERIES), history)
+
+
+@query
+def merge_genre_counts(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    old, new = _split_day(v)
+    counts = [rec.genre_counts(rec.usable(_half_titles(v, h, params.KIND_MOVIE))) for h in (old, new)]
+    return agg.merge_counts(counts[0], counts[1])
+
+
+@query
+def history_or_empty(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    old, _ = _split_day(v)
+    path = _scratch(spark, "series_genres")
+    csvio.write_csv(rec.series_history(_half_titles(v, old, params.KIND_SERIES)), path)
+    present = csvio.read_or_empty(spark, path, TITLE_GENRES)
+    absent = csvio.read_or_empty(spark, _scratch(spark, "never_written"), TITLE_GENRES)
+    return present.unionByName(absent)
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    path = _scratch(spark, "stats_csv")
+    csvio.write_csv(_month_stats(v), path)
+    return csvio.read_csv(spark, path, STATS_CSV)
+
+
+@query
+def denylist_scan(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    path = _scratch(spark, "channels")
+    csvio.write_csv(v.deny.select(F.col("pattern").alias("Channel Name")), path)
+    deny = csvio.read_denylist(spark, path)
+    playback = ev.filter_event_type(v.log)
+    pairs = contains_matches(playback.select("name"), "name", deny, "pattern")
+    return playback.join(pairs, "name").groupBy("pattern").agg(F.count(F.lit(1)).alias("hits"))
+
+
+@query
+def title_cache_append(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    path = _scratch(spark, "english_titles")
+    csvio.write_csv(v.english, path)
+    cache = csvio.read_csv(spark, path, ENGLISH_TITLES)
+    searched = cat.english_titles(_searched(v), cache)
+    # A miss would be resolved remotely; the catalogue title stands in for that answer.
+    misses = searched.filter(F.col("status") == cat.STATUS_UNRESOLVED).select(
+        "tmdb_id", F.col("item_title").alias("title"))
+    csvio.append_new(cache, misses, "tmdb_id", path)
+    return csvio.read_csv(spark, path, ENGLISH_TITLES)
