@@ -163,7 +163,8 @@ def high_water_filter(log: DataFrame, mark: int | DataFrame | Column | None) ->
         mark = mark.select(F.max("mark")).scalar()
     elif not isinstance(mark, Column):
         mark = F.lit(mark)
-    return log.filter(F.col("id") > F.coalesce(mark, F.lit(None).cast("bigint")))
+    # No mark yet (first batch): everything is new.
+    return log.filter(mark.isNull() | (F.col("id") > mark))
 
 
 def batch_counts(log: DataFrame, kept: DataFrame) -> DataFrame:

@@ -389,3 +389,27 @@ SELECT tmdb_id, title FROM english_titles
 UNION ALL
 SELECT DISTINCT ON (tmdb_id) tmdb_id, item_title AS title FROM resolved WHERE status = 'unresolved'
 """, ALL_TERMS)
+
+# ---- streaming --------------------------------------------------------------------------------
+register("stream_flatten", """
+SELECT m.id, m.user_id, m.media_name FROM media_events m JOIN pulls p ON p.id = m.id""", PULLS)
+register("stream_dedup", "SELECT id, user_id, media_name FROM media_events")
+register("stream_rolling_stats", "SELECT kind, title, views, rank FROM stats", STATS)
+register("stream_statistics", "SELECT kind, title, views, rank FROM stats", STATS)
+FIRST_PULL = PULLS + """,
+first_pull AS (SELECT id, min(pull) AS pull FROM pulls GROUP BY id),
+batch_movies AS (
+  SELECT DISTINCT f.pull, t.title AS term FROM titled t JOIN first_pull f ON f.id = t.id WHERE t.kind = 'movie'
+),""" + search_ctes("batch_movies", "bm_") + """,
+all_series AS (SELECT DISTINCT title AS term FROM titled WHERE kind = 'series'),""" + search_ctes("all_series", "as_")
+register("stream_genre_counts", """
+SELECT g.genre, count(*) AS counts
+FROM batch_movies b JOIN bm_resolved r ON r.term = b.term
+JOIN catalogue_genres g ON g.item_id = r.item_id
+WHERE r.status IN ('ok', 'unresolved') GROUP BY g.genre""", FIRST_PULL)
+register("stream_title_genres", """
+SELECT english_title AS Title, min(genres) AS Genres FROM as_resolved
+WHERE status IN ('ok', 'unresolved') GROUP BY english_title""", FIRST_PULL)
+register("stream_daily_views", """
+SELECT strftime(date, '%Y-%m-%d') AS day, kind, title, count(*) AS views
+FROM titled GROUP BY 1, 2, 3""")

@@ -24,6 +24,8 @@ from playlens.schemas import ENGLISH_TITLES, TITLE_GENRES
 from playlens.session import scratch_path
 from playlens.sources import csvio, envelope
 from playlens.sources import tables as tb
+from playlens.streaming import jobs
+from playlens.streaming.runner import latest_version, replay_pulls
 
 # ---- fixture parameters (FIXTURES.md §3) --------------------------------------------
 AS_OF_MONTH = "2024-02-15 00:00:00"
@@ -565,3 +567,80 @@ def title_cache_append(spark, sf_dir):
         "tmdb_id", F.col("item_title").alias("title"))
     csvio.append_new(cache, misses, "tmdb_id", path)
     return csvio.read_csv(spark, path, ENGLISH_TITLES)
+
+
+# ---- streaming (J1-J8, P5) ------------------------------------------------------------------------
+
+def _stream_setup(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    root = _scratch(spark, "stream")
+    return v, root, f"{root}/checkpoint"
+
+
+@query
+def stream_flatten(spark, sf_dir):
+    v, root, ckpt = _stream_setup(spark, sf_dir)
+    sink = f"{root}/media"
+    replay_pulls(v.log, root, lambda src: jobs.run_available(
+        jobs.media_stream(spark, src, v.deny).select("id", "user_id", "media_name"), ckpt, sink=sink))
+    return spark.read.parquet(sink)
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    v, root, ckpt = _stream_setup(spark, sf_dir)
+    sink = f"{root}/media"
+    replay_pulls(v.log, root, lambda src: jobs.run_available(
+        jobs.dedup_stream(jobs.media_stream(spark, src, v.deny)).select("id", "user_id", "media_name"),
+        ckpt, sink=sink))
+    return spark.read.parquet(sink)
+
+
+@query
+def stream_rolling_stats(spark, sf_dir):
+    v, root, ckpt = _stream_setup(spark, sf_dir)
+    job = jobs.RollingStatsJob(root, AS_OF_MONTH)
+    replay_pulls(v.log, root, lambda src: jobs.run_available(
+        jobs.dedup_stream(jobs.media_stream(spark, src, v.deny)), ckpt, process=job))
+    return latest_version(spark, root, "stats")
+
+
+def _genre_state(spark, sf_dir) -> str:
+    v, root, ckpt = _stream_setup(spark, sf_dir)
+    job = jobs.GenreStateJob(root, v.catalogue, v.english, v.genres)
+    replay_pulls(v.log, root, lambda src: jobs.run_available(
+        jobs.dedup_stream(jobs.media_stream(spark, src, v.deny)), ckpt, process=job))
+    return root
+
+
+@query
+def stream_genre_counts(spark, sf_dir):
+    return latest_version(spark, _genre_state(spark, sf_dir), "genre_counts")
+
+
+@query
+def stream_title_genres(spark, sf_dir):
+    return latest_version(spark, _genre_state(spark, sf_dir), "title_genres")
+
+
+@query
+def stream_daily_views(spark, sf_dir):
+    v, root, ckpt = _stream_setup(spark, sf_dir)
+    changes = f"{root}/daily_views"
+    job = jobs.ChangelogJob(changes)
+    replay_pulls(v.log, root, lambda src: jobs.run_available(
+        jobs.daily_views(jobs.media_stream(spark, src, v.deny)), ckpt, process=job,
+        output_mode="update"))
+    day = F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"),
+                                           F.col("window.start").cast("timestamp_ntz")), "yyyy-MM-dd")
+    rows = spark.read.parquet(changes).withColumn("day", day)
+    return jobs.latest_per_key(rows, ["day", "kind", "title"], ["views"])
+
+
+@query
+def stream_statistics(spark, sf_dir):
+    v, root, ckpt = _stream_setup(spark, sf_dir)
+    job = jobs.PlaybackBatchJob(root, AS_OF_MONTH, v.catalogue, v.english, v.genres, v.genre_lookup, USER_ID)
+    replay_pulls(v.log, root, lambda src: jobs.run_available(
+        jobs.media_stream(spark, src, v.deny), ckpt, process=job))
+    return latest_version(spark, root, "stats")
