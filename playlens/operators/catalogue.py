@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from playlens import params
 from playlens.operators.aggregates import keep_first
+from playlens.operators.barrier import materialize
 from playlens.operators.textjoin import broadcast_if_small, contains_matches
 
 STATUS_OK = "ok"                    # item found, English title from the cache
@@ -39,22 +40,25 @@ def search_catalogue(terms: DataFrame, catalogue: DataFrame, term_col: str = "ti
     types = item_types or params.SEARCH_ITEM_TYPES
     cands = catalogue.filter(F.col("type").isin(types)).select(
         "item_id", F.col("type").alias("item_type"), F.col("title").alias("item_title"), "tmdb_id")
-    wanted = terms.select(F.col(term_col).alias("_term")).filter(F.col("_term").isNotNull()).distinct()
+    # The distinct terms are computed once: every later decision reads them.
+    wanted = materialize(
+        terms.select(F.col(term_col).alias("_term")).filter(F.col("_term").isNotNull()).distinct())
 
-    exact = wanted.join(
+    exact = materialize(wanted.join(
         cands.withColumn("_norm", F.lower("item_title")),
         F.lower(F.col("_term")) == F.col("_norm"),
-    ).select("_term", F.lit(0).alias("_exact"), "item_id", "item_type", "item_title", "tmdb_id")
-
-    rest = wanted.join(exact.select("_term").distinct(), "_term", "left_anti")
-    pairs = contains_matches(cands.select("item_title"), "item_title", rest, "_term", lower=True)
-    fuzzy = pairs.join(cands, "item_title").select(
-        "_term", F.lit(1).alias("_exact"), "item_id", "item_type", "item_title", "tmdb_id")
-
-    best = keep_first(
-        exact.unionByName(fuzzy), "_term", F.struct("_exact", "item_id"),
-        ["item_id", "item_type", "item_title", "tmdb_id"],
-    )
+    ).select("_term", F.lit(0).alias("_exact"), "item_id", "item_type", "item_title", "tmdb_id"))
+
+    rest = wanted.join(exact.select("_term"), "_term", "left_anti")
+    candidates = exact
+    if not rest.isEmpty():
+        pairs = contains_matches(cands.select("item_title"), "item_title", rest, "_term", lower=True)
+        fuzzy = pairs.join(cands, "item_title").select(
+            "_term", F.lit(1).alias("_exact"), "item_id", "item_type", "item_title", "tmdb_id")
+        candidates = exact.unionByName(fuzzy)
+
+    best = keep_first(candidates, "_term", F.struct("_exact", "item_id"),
+                      ["item_id", "item_type", "item_title", "tmdb_id"])
     return wanted.join(best, "_term", "left").withColumnRenamed("_term", term_col)
 
 
@@ -101,8 +105,14 @@ def item_genres(genre_links: DataFrame) -> DataFrame:
 
 
 def with_genres(rows: DataFrame, genre_links: DataFrame) -> DataFrame:
-    """Add ``genres`` (array, empty when the item has none) by ``item_id``."""
-    g = item_genres(genre_links)
+    """Add ``genres`` (array, empty when the item has none) by ``item_id``.
+
+    The genre links are semi-joined to the wanted items before grouping;
+    Spark pushes that semi-join down to the scan side of the links, so only
+    the lines of wanted items are aggregated.
+    """
+    ids = rows.select("item_id").filter(F.col("item_id").isNotNull()).distinct()
+    g = item_genres(genre_links.join(ids, "item_id", "left_semi"))
     return rows.join(g, "item_id", "left").withColumn(
         "genres", F.coalesce(F.col("genres"), F.array().cast("array<string>")))
 

@@ -62,20 +62,24 @@ def filter_event_type(log: DataFrame, types: list[str] | None = None) -> DataFra
 
 
 def filter_denylist(log: DataFrame, deny: DataFrame, pattern_col: str = "pattern",
-                    text_col: str = "name", mode: str = "literal") -> DataFrame:
+                    text_col: str = "name", mode: str = "literal",
+                    known_max: int | None = None) -> DataFrame:
     """Drop log rows whose sentence contains any deny-list entry (C1, anti theta-join).
 
     ``mode="literal"`` matches entries as plain substrings; ``mode="regex"``
     treats them as unanchored regular expressions, like an alternation of all
     entries.  A null sentence is dropped too.  A deny-list of checked size is
     broadcast to a nested-loop anti join (no shuffle of the log); a larger
-    literal list goes through the exact gram-indexed join.
+    literal list goes through the exact gram-indexed join.  ``known_max`` is
+    a size bound the caller proves (a list built from constants); without it
+    the deny-list rows are counted.
     """
     pats = deny.select(F.col(pattern_col).alias("_deny")).filter(
         F.col("_deny").isNotNull() & (F.length("_deny") > 0))
     text = F.col(text_col)
     live = log.filter(text.isNotNull())
-    if log.isStreaming or row_count_at_most(pats, params.BROADCAST_ROW_LIMIT):
+    small = known_max is not None and known_max <= params.BROADCAST_ROW_LIMIT
+    if log.isStreaming or small or row_count_at_most(pats, params.BROADCAST_ROW_LIMIT):
         cond = F.expr(f"`{text_col}` RLIKE _deny") if mode == "regex" else text.contains(F.col("_deny"))
         return live.join(F.broadcast(pats), cond, "left_anti")
     if mode == "regex":
@@ -90,9 +94,10 @@ def with_media_name(log: DataFrame, pattern: str = params.MEDIA_NAME_PATTERN) ->
         (F.col("media_name") != "") & F.col("media_name").isNotNull())
 
 
-def media_events(log: DataFrame, deny: DataFrame, mode: str = "literal") -> DataFrame:
+def media_events(log: DataFrame, deny: DataFrame, mode: str = "literal",
+                 deny_max: int | None = None) -> DataFrame:
     """Type filter -> deny-list -> title extraction: the cleaned playback stream."""
-    return with_media_name(filter_denylist(filter_event_type(log), deny, mode=mode))
+    return with_media_name(filter_denylist(filter_event_type(log), deny, mode=mode, known_max=deny_max))
 
 
 # ---- B8-B12: selections -------------------------------------------------------------

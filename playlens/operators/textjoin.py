@@ -58,8 +58,10 @@ def contains_matches(texts: DataFrame, text_col: str, patterns: DataFrame, patte
         .withColumn("_g", F.least(F.length("_pnorm"), F.lit(gram)))
         .withColumn("_key", F.substring("_pnorm", 1, gram))
     )
-    # Which gram lengths are needed: at most ``gram`` distinct values.
-    lengths = sorted(r[0] for r in pats.select("_g").distinct().collect())
+    # One small job: which gram lengths are needed (at most ``gram`` values)
+    # and how many patterns there are (decides the broadcast).
+    per_length = {r[0]: r[1] for r in pats.groupBy("_g").count().collect()}
+    lengths = sorted(per_length)
     if not lengths:
         return texts.sparkSession.createDataFrame([], f"`{text_col}` string, `{pattern_col}` string")
     hay = (
@@ -81,7 +83,7 @@ def contains_matches(texts: DataFrame, text_col: str, patterns: DataFrame, patte
         )
         grams = one if grams is None else grams.unionByName(one)
     return (
-        grams.join(broadcast_if_small(pats), ["_g", "_key"])
+        grams.join(broadcast_if_small(pats, known_max=sum(per_length.values())), ["_g", "_key"])
         .filter(F.col("_tnorm").contains(F.col("_pnorm")))
         .select(F.col("_text").alias(text_col), F.col("_pattern").alias(pattern_col))
         .distinct()

@@ -23,6 +23,7 @@ from playlens.operators import aggregates as agg
 from playlens.operators import catalogue as cat
 from playlens.operators import events as ev
 from playlens.operators import rules
+from playlens.operators.barrier import materialize
 
 
 def user_titles(media: DataFrame, user_id: str, kind: str) -> DataFrame:
@@ -83,6 +84,7 @@ def recommend_details(top: DataFrame, catalogue: DataFrame, cache: DataFrame,
     title (the catalogue title when the cache has none) and ``genres`` a
     sorted ``", "``-joined string.
     """
+    top = materialize(top)          # k rows; the lookups below read them, not the chain
     details = resolve_titles(top.select("title"), catalogue, cache, genre_links)
     return top.join(details, "title", "left").select(
         "rank",
@@ -132,7 +134,11 @@ def series_baskets(history: DataFrame) -> DataFrame:
 
 
 def predicted_genre_counts(baskets: DataFrame, model=None) -> DataFrame:
-    """Genres predicted by the rules, one vote per basket."""
+    """Genres predicted by the rules, one vote per basket.
+
+    FP-Growth reads its input several times, so the baskets are materialised first.
+    """
+    baskets = materialize(baskets)
     model = model or rules.fit_rules(baskets)
     predicted = rules.predict(model, baskets)
     return agg.value_counts(rules.predicted_genres(predicted), "genre")

@@ -21,13 +21,13 @@ def ranked_views(titled: DataFrame) -> DataFrame:
 
 
 def view_statistics(log: DataFrame, deny: DataFrame, as_of, time_range: str = "month",
-                    deny_mode: str = "literal") -> DataFrame:
+                    deny_mode: str = "literal", deny_max: int | None = None) -> DataFrame:
     """Views per movie and per series in the range ending at ``as_of``.
 
     One ``groupBy(kind, title)`` serves both kinds, and names and counts come
     out of the same frame, so they cannot drift apart.
     """
-    media = ev.in_time_range(ev.media_events(log, deny, deny_mode), as_of, time_range)
+    media = ev.in_time_range(ev.media_events(log, deny, deny_mode, deny_max), as_of, time_range)
     return ranked_views(ev.with_kind(media))
 
 

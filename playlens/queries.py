@@ -19,6 +19,7 @@ from playlens.operators import events as ev
 from playlens.operators import rules
 from playlens.plans import recommend as rec
 from playlens.plans import statistics as st
+from playlens.operators.barrier import materialize
 from playlens.operators.textjoin import contains_matches
 from playlens.schemas import ENGLISH_TITLES, TITLE_GENRES
 from playlens.session import scratch_path
@@ -86,7 +87,7 @@ class Views:
 @query
 def view_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = Views(spark, sf_dir)
-    return st.view_statistics(v.log, v.deny, AS_OF_MONTH, "month")
+    return st.view_statistics(v.log, v.deny, AS_OF_MONTH, "month", deny_max=len(tb.DENYLIST_PATTERNS))
 
 
 # ---- helpers ------------------------------------------------------------------------------
@@ -98,7 +99,7 @@ def ts_text(col: str = "date", name: str | None = None):
 
 
 def _media(v: Views) -> DataFrame:
-    return ev.media_events(v.log, v.deny)
+    return ev.media_events(v.log, v.deny, deny_max=len(tb.DENYLIST_PATTERNS))
 
 
 def _titled(v: Views) -> DataFrame:
@@ -126,7 +127,8 @@ def filter_event_type(spark, sf_dir):
 @query
 def filter_denylist(spark, sf_dir):
     v = Views(spark, sf_dir)
-    return ev.filter_denylist(ev.filter_event_type(v.log), v.deny).select("id", "user_id", "name")
+    return ev.filter_denylist(ev.filter_event_type(v.log), v.deny,
+                              known_max=len(tb.DENYLIST_PATTERNS)).select("id", "user_id", "name")
 
 
 @query
@@ -209,7 +211,7 @@ def distinct_titles(spark, sf_dir):
 
 
 def _month_stats(v: Views) -> DataFrame:
-    return st.view_statistics(v.log, v.deny, AS_OF_MONTH, "month")
+    return st.view_statistics(v.log, v.deny, AS_OF_MONTH, "month", deny_max=len(tb.DENYLIST_PATTERNS))
 
 
 @query
@@ -355,14 +357,18 @@ def recommend_movies(spark, sf_dir):
 # ---- FP-Growth over genre baskets (E1-E4) and the series chain (D6, J7, P4) -----------------
 
 def _item_baskets(v: Views) -> DataFrame:
-    """Every catalogue item's genres as a basket; items without genres get a null basket."""
+    """Every catalogue item's genres as a basket; items without genres get a null basket.
+
+    Materialised once: FP-Growth reads its input several times and the
+    prediction reads it again.
+    """
     genres = cat.item_genres(v.genres)
-    return v.catalogue.select("item_id").join(genres, "item_id", "left").select(
-        "item_id", F.col("genres").alias("basket"))
+    return materialize(v.catalogue.select("item_id").join(genres, "item_id", "left").select(
+        "item_id", F.col("genres").alias("basket")))
 
 
-def _item_model(v: Views):
-    return rules.fit_rules(_item_baskets(v))
+def _item_model(v: Views, baskets: DataFrame | None = None):
+    return rules.fit_rules(baskets if baskets is not None else _item_baskets(v))
 
 
 def _set_text(col: str):
@@ -387,7 +393,7 @@ def association_rules(spark, sf_dir):
 def rule_predictions(spark, sf_dir):
     v = Views(spark, sf_dir)
     baskets = _item_baskets(v)
-    predicted = rules.predict(_item_model(v), baskets)
+    predicted = rules.predict(_item_model(v, baskets), baskets)
     return predicted.select("item_id", _set_text("basket").alias("basket"),
                             _set_text("prediction").alias("prediction"))
 
@@ -396,7 +402,7 @@ def rule_predictions(spark, sf_dir):
 def predicted_genres(spark, sf_dir):
     v = Views(spark, sf_dir)
     baskets = _item_baskets(v)
-    return rules.predicted_genres(rules.predict(_item_model(v), baskets), ["item_id"])
+    return rules.predicted_genres(rules.predict(_item_model(v, baskets), baskets), ["item_id"])
 
 
 def _user_series_baskets(v: Views) -> DataFrame:
