@@ -17,6 +17,10 @@ from playlens.session import ensure_checkpoint_dir
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage (reliable checkpoint, not a local one)."""
+    """Compute ``df`` once and cut its lineage (reliable checkpoint, not a local one).
+
+    An eager checkpoint computes the plan in the job that writes the files,
+    so no cache is needed in front of it.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

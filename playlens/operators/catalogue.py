@@ -62,6 +62,23 @@ def search_catalogue(terms: DataFrame, catalogue: DataFrame, term_col: str = "ti
     return wanted.join(best, "_term", "left").withColumnRenamed("_term", term_col)
 
 
+def search_exact(terms: DataFrame, catalogue: DataFrame, term_col: str = "title",
+                 item_types: list[str] | None = None) -> DataFrame:
+    """:func:`search_catalogue` for terms that are catalogue titles themselves.
+
+    Such a term always has an exact (case-insensitive) match, and an exact
+    match always wins, so the contains search is never needed: one equi-join
+    and a first-by-``item_id`` aggregate give the same answer.
+    """
+    types = item_types or params.SEARCH_ITEM_TYPES
+    cands = catalogue.filter(F.col("type").isin(types)).select(
+        "item_id", F.col("type").alias("item_type"), F.col("title").alias("item_title"), "tmdb_id")
+    wanted = terms.select(F.col(term_col).alias("_term")).filter(F.col("_term").isNotNull()).distinct()
+    exact = wanted.join(cands, F.lower(F.col("_term")) == F.lower(F.col("item_title")))
+    best = keep_first(exact, "_term", "item_id", ["item_id", "item_type", "item_title", "tmdb_id"])
+    return wanted.join(best, "_term", "left").withColumnRenamed("_term", term_col)
+
+
 def english_lookup(cache: DataFrame) -> DataFrame:
     """The English-title cache keyed by provider id (as string), one title per id.
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens import params
+from playlens.operators.barrier import materialize
 from playlens.operators.textjoin import row_count_at_most
 
 
@@ -26,12 +27,11 @@ def ordered_position(df: DataFrame, partition_by: list[str], order_by: list[Colu
                      name: str = "rank") -> DataFrame:
     """Add ``name`` = 1-based position of each row within its group, in ``order_by`` order."""
     keys = [F.col(c).asc_nulls_first() for c in partition_by] + list(order_by)
-    ordered = (
+    ordered = materialize(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
     )
     counts = ordered.groupBy("_pid", *partition_by).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))

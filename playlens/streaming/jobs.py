@@ -9,7 +9,7 @@ batch id, so a replayed micro-batch rewrites instead of double counting.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from playlens import params
 from playlens.functions.time import range_start
 from playlens.operators import aggregates as agg
 from playlens.operators import events as ev
+from playlens.operators.barrier import materialize
 from playlens.plans import recommend as rec
 from playlens.plans.statistics import ranked_views
 from playlens.schemas import GENRE_COUNTS, TITLE_GENRES
@@ -108,12 +109,22 @@ class GenreStateJob:
     genre_links: DataFrame
     user_id: str | None = None
 
+    _static_ready: bool = False
+
+    def _static(self) -> None:
+        """The catalogue side is static: derive it once, not in every micro-batch."""
+        if not self._static_ready:
+            self.catalogue = materialize(self.catalogue)
+            self.genre_links = materialize(self.genre_links)
+            self._static_ready = True
+
     def _titles(self, batch: DataFrame, kind: str) -> DataFrame:
         rows = batch if self.user_id is None else ev.user_history(batch, self.user_id)
         return ev.with_kind(rows).filter(F.col("kind") == kind).select("title").distinct()
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        self._static()
         batch = batch.persist()
         try:
             movies = rec.usable(rec.resolve_titles(self._titles(batch, params.KIND_MOVIE),
@@ -155,10 +166,20 @@ class PlaybackBatchJob:
     lookup: DataFrame
     user_id: str = params.DEFAULT_USER
     time_range: str = "month"
-    outputs: list = field(default_factory=list)
+    _static_ready: bool = False
+
+    def _static(self) -> None:
+        """Catalogue, genre links and lookup are static: derive them once per job."""
+        if not self._static_ready:
+            self.catalogue = materialize(self.catalogue)
+            self.genre_links = materialize(self.genre_links)
+            self.lookup = materialize(self.lookup)
+            self.cache = materialize(self.cache)
+            self._static_ready = True
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        self._static()
         old_mark = state.read_version(spark, self.root, "mark", batch_id - 1, _schema(MARK_SCHEMA))
         fresh = ev.high_water_filter(batch, old_mark).persist()
         try:
