@@ -20,7 +20,7 @@ from playlens.operators import aggregates as agg
 from playlens.operators import events as ev
 from playlens.operators.barrier import materialize
 from playlens.plans import recommend as rec
-from playlens.plans.statistics import ranked_views
+from playlens.operators.ranking import ordered_position
 from playlens.schemas import GENRE_COUNTS, TITLE_GENRES
 from playlens.sources.envelope import stream_envelopes
 from playlens.streaming import state
@@ -55,15 +55,29 @@ def dedup_stream(media: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
     return with_event_time(media).withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["id"])
 
 
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 def run_available(stream: DataFrame, checkpoint: str, process=None, sink: str | None = None,
                   output_mode: str = "append", sink_format: str = "parquet") -> None:
-    """Process everything available now, then stop: ``foreachBatch(process)`` or a file sink."""
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
-    if process is not None:
-        writer = writer.foreachBatch(process)
-    else:
-        writer = writer.format(sink_format).option("path", sink)
-    query = writer.trigger(availableNow=True).start()
+    """Process everything available now, then stop: ``foreachBatch(process)`` or a file sink.
+
+    Batches without data (run only to move the watermark) are switched off:
+    state eviction then happens with the next data batch, and the batch jobs
+    never recompute their outputs for an empty input.
+    """
+    spark = stream.sparkSession
+    previous = spark.conf.get(NO_DATA_BATCHES, "true")
+    spark.conf.set(NO_DATA_BATCHES, "false")
+    try:
+        writer = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
+        if process is not None:
+            writer = writer.foreachBatch(process)
+        else:
+            writer = writer.format(sink_format).option("path", sink)
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(NO_DATA_BATCHES, previous)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
@@ -76,9 +90,24 @@ def history_rows(media: DataFrame) -> DataFrame:
 
 
 def rolling_statistics(spark: SparkSession, root: str, as_of, time_range: str = "month") -> DataFrame:
-    """View statistics over the stored history in the range ending at ``as_of``."""
-    hist = state.read_history(spark, root, range_start(as_of, time_range))
-    return ranked_views(ev.with_kind(hist.filter(F.col("ts") >= range_start(as_of, time_range))))
+    """View statistics over the stored state in the range ending at ``as_of``.
+
+    Whole days come from the daily partial counts, the boundary day from raw
+    history rows; nothing older than the range is read.
+    """
+    counts = state.range_counts(spark, root, range_start(as_of, time_range), ev.with_kind)
+    return ordered_position(counts, ["kind"], [F.col("views").desc(), F.col("title").asc()])
+
+
+def store_batch(media: DataFrame, root: str, batch_id: int) -> None:
+    """History rows and daily partial counts of one micro-batch (both replay-safe).
+
+    The counts are computed from the batch's own history partitions, read
+    back with ``batch_id`` pruning, so the micro-batch is computed once.
+    """
+    state.append_history(history_rows(media), root, batch_id)
+    written = state.read_history(media.sparkSession, root).filter(F.col("batch_id") == batch_id)
+    state.append_daily_counts(ev.with_kind(written), root, batch_id)
 
 
 @dataclass
@@ -91,7 +120,9 @@ class RollingStatsJob:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        state.append_history(history_rows(batch), self.root, batch_id)
+        if batch.isEmpty():
+            return              # readers take the newest stats version there is
+        store_batch(batch, self.root, batch_id)
         stats = rolling_statistics(spark, self.root, self.as_of, self.time_range)
         state.write_version(stats, self.root, "stats", batch_id)
 
@@ -190,7 +221,7 @@ class PlaybackBatchJob:
                 self._carry(spark, batch_id)
                 return
             # statistics (P1 over the rolling history)
-            state.append_history(history_rows(fresh), self.root, batch_id)
+            store_batch(fresh, self.root, batch_id)
             stats = rolling_statistics(spark, self.root, self.as_of, self.time_range)
             state.write_version(stats, self.root, "stats", batch_id)
             # movie recommendations with running genre counts

@@ -78,3 +78,46 @@ def read_history(spark: SparkSession, root: str, start=None) -> DataFrame:
         return hist
     start_col = start if not isinstance(start, str) else ntz_literal(start)
     return hist.filter(F.col("day") >= F.to_date(start_col)).filter(F.col("ts") >= start_col)
+
+
+# ---- daily partial counts (incremental rolling statistics) ---------------------------------------
+
+DAILY_DDL = "kind string, title string, views bigint, day date, batch_id bigint"
+
+
+def daily_counts_path(root: str) -> str:
+    return f"{root.rstrip('/')}/daily_counts"
+
+
+def append_daily_counts(titled: DataFrame, root: str, batch_id: int, time_col: str = "ts") -> None:
+    """Write one micro-batch's views per ``(day, kind, title)`` into its own partitions.
+
+    These partial counts are what a range query sums for the days it covers
+    completely, so it never re-reads raw events of those days.  Like the
+    history, a replayed batch rewrites its own partitions.
+    """
+    (titled.groupBy(F.to_date(time_col).alias("day"), "kind", "title")
+     .agg(F.count(F.lit(1)).alias("views"))
+     .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+     .repartition("day")          # aggregated rows: one file per day, not per task and day
+     .write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("day", "batch_id")
+     .parquet(daily_counts_path(root)))
+
+
+def range_counts(spark: SparkSession, root: str, start, titled_history) -> DataFrame:
+    """Views per ``(kind, title)`` with ``ts >= start``.
+
+    Days after ``start``'s day come from the daily partial counts; only the
+    boundary day is counted from raw history rows (``titled_history`` maps
+    history rows to ``kind, title``).  Both reads prune by ``day``.
+    """
+    start_col = start if not isinstance(start, str) else ntz_literal(start)
+    start_day = F.to_date(start_col)
+    partial = _read_parquet_or_empty(spark, daily_counts_path(root), StructType.fromDDL(DAILY_DDL))
+    full_days = partial.filter(F.col("day") > start_day).select("kind", "title", "views")
+    edge_rows = read_history(spark, root).filter(F.col("day") == start_day).filter(F.col("ts") >= start_col)
+    edge = titled_history(edge_rows).groupBy("kind", "title").agg(F.count(F.lit(1)).alias("views"))
+    return full_days.unionByName(edge).groupBy("kind", "title").agg(
+        F.sum("views").cast("bigint").alias("views"))
