@@ -44,9 +44,11 @@ def search_catalogue(terms: DataFrame, catalogue: DataFrame, term_col: str = "ti
     wanted = materialize(
         terms.select(F.col(term_col).alias("_term")).filter(F.col("_term").isNotNull()).distinct())
 
-    exact = materialize(wanted.join(
-        cands.withColumn("_norm", F.lower("item_title")),
-        F.lower(F.col("_term")) == F.col("_norm"),
+    # Search terms are few next to the catalogue: broadcast them when the
+    # count (read from the checkpoint) allows, so the catalogue is not shuffled.
+    exact = materialize(cands.withColumn("_norm", F.lower("item_title")).join(
+        broadcast_if_small(wanted.withColumn("_tnorm", F.lower("_term"))),
+        F.col("_tnorm") == F.col("_norm"),
     ).select("_term", F.lit(0).alias("_exact"), "item_id", "item_type", "item_title", "tmdb_id"))
 
     rest = wanted.join(exact.select("_term"), "_term", "left_anti")
@@ -63,18 +65,20 @@ def search_catalogue(terms: DataFrame, catalogue: DataFrame, term_col: str = "ti
 
 
 def search_exact(terms: DataFrame, catalogue: DataFrame, term_col: str = "title",
-                 item_types: list[str] | None = None) -> DataFrame:
+                 item_types: list[str] | None = None, known_max: int | None = None) -> DataFrame:
     """:func:`search_catalogue` for terms that are catalogue titles themselves.
 
     Such a term always has an exact (case-insensitive) match, and an exact
     match always wins, so the contains search is never needed: one equi-join
-    and a first-by-``item_id`` aggregate give the same answer.
+    and a first-by-``item_id`` aggregate give the same answer.  ``known_max``
+    bounds the number of terms (a top-k list) so they are broadcast.
     """
     types = item_types or params.SEARCH_ITEM_TYPES
     cands = catalogue.filter(F.col("type").isin(types)).select(
         "item_id", F.col("type").alias("item_type"), F.col("title").alias("item_title"), "tmdb_id")
     wanted = terms.select(F.col(term_col).alias("_term")).filter(F.col("_term").isNotNull()).distinct()
-    exact = wanted.join(cands, F.lower(F.col("_term")) == F.lower(F.col("item_title")))
+    exact = cands.join(broadcast_if_small(wanted, known_max),
+                       F.lower(F.col("_term")) == F.lower(F.col("item_title")))
     best = keep_first(exact, "_term", "item_id", ["item_id", "item_type", "item_title", "tmdb_id"])
     return wanted.join(best, "_term", "left").withColumnRenamed("_term", term_col)
 
@@ -121,7 +125,7 @@ def item_genres(genre_links: DataFrame) -> DataFrame:
     return genre_links.groupBy("item_id").agg(F.sort_array(F.collect_set("genre")).alias("genres"))
 
 
-def with_genres(rows: DataFrame, genre_links: DataFrame) -> DataFrame:
+def with_genres(rows: DataFrame, genre_links: DataFrame, known_max: int | None = None) -> DataFrame:
     """Add ``genres`` (array, empty when the item has none) by ``item_id``.
 
     The genre links are semi-joined to the wanted items before grouping;
@@ -129,6 +133,8 @@ def with_genres(rows: DataFrame, genre_links: DataFrame) -> DataFrame:
     the lines of wanted items are aggregated.
     """
     ids = rows.select("item_id").filter(F.col("item_id").isNotNull()).distinct()
+    if known_max is not None:           # a proven bound: broadcast without counting
+        ids = broadcast_if_small(ids, known_max)
     g = item_genres(genre_links.join(ids, "item_id", "left_semi"))
     return rows.join(g, "item_id", "left").withColumn(
         "genres", F.coalesce(F.col("genres"), F.array().cast("array<string>")))

@@ -33,18 +33,21 @@ def user_titles(media: DataFrame, user_id: str, kind: str) -> DataFrame:
 
 
 def resolve_titles(titles: DataFrame, catalogue: DataFrame, cache: DataFrame,
-                   genre_links: DataFrame, catalogue_titles: bool = False) -> DataFrame:
+                   genre_links: DataFrame, catalogue_titles: bool = False,
+                   known_max: int | None = None) -> DataFrame:
     """Search each title, attach English title, status and genres.
 
     Output: ``title, item_id, item_type, item_title, tmdb_id, english_title,
     status, genres`` (``genres`` a sorted array, empty when the item has none).
     ``catalogue_titles=True`` says the titles come from the catalogue itself,
     so the exact-match search gives the same first item without the
-    contains fallback.
+    contains fallback.  ``known_max`` bounds the number of titles (top-k).
     """
-    search = cat.search_exact if catalogue_titles else cat.search_catalogue
-    found = cat.english_titles(search(titles, catalogue), cache)
-    return cat.with_genres(found, genre_links)
+    if catalogue_titles:
+        found = cat.search_exact(titles, catalogue, known_max=known_max)
+    else:
+        found = cat.search_catalogue(titles, catalogue)
+    return cat.with_genres(cat.english_titles(found, cache), genre_links, known_max)
 
 
 def usable(resolved: DataFrame) -> DataFrame:
@@ -89,7 +92,8 @@ def recommend_details(top: DataFrame, catalogue: DataFrame, cache: DataFrame,
     sorted ``", "``-joined string.
     """
     top = materialize(top)          # k rows; the lookups below read them, not the chain
-    details = resolve_titles(top.select("title"), catalogue, cache, genre_links, catalogue_titles=True)
+    details = resolve_titles(top.select("title"), catalogue, cache, genre_links, catalogue_titles=True,
+                             known_max=params.TOP_TITLES)
     return top.join(details, "title", "left").select(
         "rank",
         F.coalesce(F.col("english_title"), F.col("title")).alias("title"),

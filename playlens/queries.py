@@ -342,7 +342,8 @@ def top3_titles(spark, sf_dir):
 def recommend_details(spark, sf_dir):
     v = Views(spark, sf_dir)
     top = materialize(rec.top_titles(_movie_hits(v)))
-    details = rec.resolve_titles(top.select("title"), v.catalogue, v.english, v.genres, catalogue_titles=True)
+    details = rec.resolve_titles(top.select("title"), v.catalogue, v.english, v.genres,
+                                 catalogue_titles=True, known_max=params.TOP_TITLES)
     return top.join(details, "title", "left").select(
         "rank", "title", "item_id", "english_title", "status",
         F.array_join("genres", params.GENRE_SEPARATOR).alias("genres"))
