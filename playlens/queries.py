@@ -606,9 +606,10 @@ def stream_dedup(spark, sf_dir):
 @query
 def stream_rolling_stats(spark, sf_dir):
     v, root, ckpt = _stream_setup(spark, sf_dir)
-    job = jobs.RollingStatsJob(root, AS_OF_MONTH)
+    # Dedup inside the batch job: exact and even under a hot id (see dedup_against_history).
+    job = jobs.RollingStatsJob(root, AS_OF_MONTH, dedup=True)
     replay_pulls(v.log, root, lambda src: jobs.run_available(
-        jobs.dedup_stream(jobs.media_stream(spark, src, v.deny)), ckpt, process=job))
+        jobs.media_stream(spark, src, v.deny), ckpt, process=job))
     return latest_version(spark, root, "stats")
 
 

@@ -58,6 +58,29 @@ def dedup_stream(media: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
+DEDUP_HORIZON_DAYS = 3     # a repeat of an event arrives at most this many days after it
+
+
+def dedup_against_history(batch: DataFrame, root: str,
+                          horizon_days: int = DEDUP_HORIZON_DAYS) -> DataFrame:
+    """Exact micro-batch dedup that stays even when one id has huge numbers of copies.
+
+    Inside the batch, ``dropDuplicates`` runs as an aggregate with a partial
+    phase, so the copies of a hot id collapse in every task before the
+    shuffle.  Ids already stored by earlier batches are removed with an
+    anti join against the history, read only for the days a repeat can
+    come from (the batch's first day minus the horizon, partition-pruned).
+    """
+    spark = batch.sparkSession
+    local = batch.dropDuplicates(["id"])
+    first_day = local.agg(F.min(F.to_date("date"))).first()[0]   # one scalar
+    if first_day is None:
+        return local
+    since = F.date_sub(F.lit(first_day), horizon_days)
+    seen = state.read_history(spark, root).filter(F.col("day") >= since).select("id")
+    return local.join(seen, "id", "left_anti")
+
+
 def run_available(stream: DataFrame, checkpoint: str, process=None, sink: str | None = None,
                   output_mode: str = "append", sink_format: str = "parquet") -> None:
     """Process everything available now, then stop: ``foreachBatch(process)`` or a file sink.
@@ -112,16 +135,23 @@ def store_batch(media: DataFrame, root: str, batch_id: int) -> None:
 
 @dataclass
 class RollingStatsJob:
-    """foreachBatch: append the batch to history, recompute and store the statistics."""
+    """foreachBatch: append the batch to history, recompute and store the statistics.
+
+    ``dedup=True`` removes repeated ids inside the job (skew-safe, exact);
+    use it on a stream without :func:`dedup_stream`.
+    """
 
     root: str
     as_of: object
     time_range: str = "month"
+    dedup: bool = False
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if batch.isEmpty():
             return              # readers take the newest stats version there is
+        if self.dedup:
+            batch = dedup_against_history(batch, self.root)
         store_batch(batch, self.root, batch_id)
         stats = rolling_statistics(spark, self.root, self.as_of, self.time_range)
         state.write_version(stats, self.root, "stats", batch_id)

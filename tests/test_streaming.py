@@ -87,3 +87,16 @@ def test_envelope_roundtrip_and_numbering(spark):
     assert [os.path.basename(p) for p in paths] == ["activity_01", "activity_02", "activity_03", "activity_04"]
     back = ev.flatten_log(envelope.read_envelopes(spark, f"{root}/activity_*"))
     assert back.select("id").distinct().count() == v.log.count()
+
+
+def test_batch_dedup_with_a_hot_id(spark):
+    root = _root()
+    rows = [(7, "2024-01-02 10:00:00", "1", "u is playing A on tv", "A")] * 3000 + \
+        [(i, "2024-01-02 11:00:00", "1", "u is playing B on tv", "B") for i in range(100, 110)]
+    schema = "id bigint, date string, user_id string, name string, media_name string"
+    first = spark.createDataFrame(rows, schema).withColumn("date", F.col("date").cast("timestamp_ntz"))
+    fresh = jobs.dedup_against_history(first.repartition(8), root)
+    assert sorted(r.id for r in fresh.collect()) == [7] + list(range(100, 110))
+    jobs.store_batch(fresh, root, 0)
+    again = jobs.dedup_against_history(first.filter("id >= 105").repartition(4), root)
+    assert again.count() == 0
