@@ -102,14 +102,22 @@ def recommend_details(top: DataFrame, catalogue: DataFrame, cache: DataFrame,
     )
 
 
+def without_watched(hits: DataFrame, media: DataFrame, user_id: str, kind: str) -> DataFrame:
+    """Drop titles the user already watched (optional; off by default as in the original)."""
+    watched = user_titles(media, user_id, kind)
+    return hits.join(watched, "title", "left_anti")
+
+
 def recommend_movies(media: DataFrame, catalogue: DataFrame, cache: DataFrame,
                      genre_links: DataFrame, lookup: DataFrame,
                      user_id: str = params.DEFAULT_USER,
-                     previous_counts: DataFrame | None = None) -> DataFrame:
+                     previous_counts: DataFrame | None = None,
+                     exclude_watched: bool = False) -> DataFrame:
     """Top-3 movie recommendations for one user.
 
     ``previous_counts`` (``genre, counts``) is merged in first, the
     cumulative form of the genre counts kept across batches.
+    ``exclude_watched`` leaves out movies the user has already seen.
     """
     resolved = usable(resolve_titles(user_titles(media, user_id, params.KIND_MOVIE),
                                      catalogue, cache, genre_links))
@@ -118,6 +126,8 @@ def recommend_movies(media: DataFrame, catalogue: DataFrame, cache: DataFrame,
         counts = agg.merge_counts(previous_counts, counts)
     top = top_genres(counts)
     hits = genre_hits(top, lookup, genre_links, catalogue, "Movie")
+    if exclude_watched:
+        hits = without_watched(hits, media, user_id, params.KIND_MOVIE)
     return recommend_details(top_titles(hits), catalogue, cache, genre_links)
 
 
@@ -155,11 +165,17 @@ def predicted_genre_counts(baskets: DataFrame, model=None) -> DataFrame:
 def recommend_series(media: DataFrame, catalogue: DataFrame, cache: DataFrame,
                      genre_links: DataFrame, lookup: DataFrame,
                      user_id: str = params.DEFAULT_USER,
-                     history: DataFrame | None = None) -> DataFrame:
-    """Top-3 series recommendations for one user from FP-Growth predictions."""
+                     history: DataFrame | None = None,
+                     exclude_watched: bool = False) -> DataFrame:
+    """Top-3 series recommendations for one user from FP-Growth predictions.
+
+    ``exclude_watched`` leaves out series the user has already seen.
+    """
     resolved = resolve_titles(user_titles(media, user_id, params.KIND_SERIES),
                               catalogue, cache, genre_links)
     baskets = series_baskets(series_history(resolved, history))
     top = top_genres(predicted_genre_counts(baskets))
     hits = genre_hits(top, lookup, genre_links, catalogue, "Series")
+    if exclude_watched:
+        hits = without_watched(hits, media, user_id, params.KIND_SERIES)
     return recommend_details(top_titles(hits), catalogue, cache, genre_links)

@@ -145,3 +145,20 @@ def test_fp_growth_matches_brute_force(spark):
             continue
         exp = sorted({y for (a, y) in want if set(a) <= set(b) and y not in b})
         assert r["prediction"] == exp
+
+
+def test_recommend_movies_can_leave_out_watched_titles(spark):
+    from conftest import SF_SMALL
+    from playlens.plans import recommend as rec
+    from playlens.queries import Views
+    v = Views(spark, SF_SMALL)
+    media = ev.media_events(v.log, v.deny)
+    watched = {r.title for r in rec.user_titles(media, "1", "movie").collect()}
+    base = rec.recommend_movies(media, v.catalogue, v.english, v.genres, v.genre_lookup, "1")
+    fresh = rec.recommend_movies(media, v.catalogue, v.english, v.genres, v.genre_lookup, "1",
+                                 exclude_watched=True)
+    assert base.count() == 3 and fresh.count() == 3
+    details = rec.resolve_titles(spark.createDataFrame([(t,) for t in watched], "title string"),
+                                 v.catalogue, v.english, v.genres)
+    watched_en = {r.english_title for r in details.collect()} | watched
+    assert not ({r.title for r in fresh.collect()} & watched_en)
