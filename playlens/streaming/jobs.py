@@ -255,9 +255,11 @@ class PlaybackBatchJob:
             stats = rolling_statistics(spark, self.root, self.as_of, self.time_range)
             state.write_version(stats, self.root, "stats", batch_id)
             # movie recommendations with running genre counts
-            movies = rec.usable(rec.resolve_titles(
-                rec.user_titles(fresh, self.user_id, params.KIND_MOVIE),
-                self.catalogue, self.cache, self.genre_links))
+            # one catalogue search for the user's titles of both kinds
+            titled = ev.with_kind(ev.user_history(fresh, self.user_id)).select("kind", "title").distinct()
+            resolved = materialize(rec.resolve_titles(titled.select("title"), self.catalogue, self.cache,
+                                                      self.genre_links).join(titled, "title"))
+            movies = rec.usable(resolved.filter(F.col("kind") == params.KIND_MOVIE))
             old_counts = state.read_version(spark, self.root, "genre_counts", batch_id - 1,
                                             _schema(COUNTS_SCHEMA))
             counts = agg.merge_counts(old_counts, rec.genre_counts(movies))
@@ -269,8 +271,7 @@ class PlaybackBatchJob:
                                               self.genre_links)
             state.write_version(movie_rec, self.root, "movie_recommendations", batch_id)
             # series recommendations from the first-wins title history
-            series = rec.resolve_titles(rec.user_titles(fresh, self.user_id, params.KIND_SERIES),
-                                        self.catalogue, self.cache, self.genre_links)
+            series = resolved.filter(F.col("kind") == params.KIND_SERIES)
             old_titles = state.read_version(spark, self.root, "title_genres", batch_id - 1, TITLE_GENRES)
             state.write_version(rec.series_history(series, old_titles), self.root, "title_genres", batch_id)
             titles = state.read_version(spark, self.root, "title_genres", batch_id, TITLE_GENRES)
