@@ -97,10 +97,6 @@ FROM (SELECT kind, title, count(*) AS views FROM titled WHERE date >= {MONTH_CUT
 TS = "strftime(date, '%Y-%m-%d %H:%M:%S.%f') AS date"
 
 
-def ts(col: str = "date") -> str:
-    return f"strftime({col}, '%Y-%m-%d %H:%M:%S.%f') AS {col}"
-
-
 # ---- log operators --------------------------------------------------------------------------
 register("filter_event_type", f"SELECT id, {TS}, user_id, type, name FROM playback")
 register("filter_denylist", "SELECT id, user_id, name FROM not_denied")

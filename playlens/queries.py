@@ -94,7 +94,6 @@ def view_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ts_text(col: str = "date", name: str | None = None):
     """Timestamps leave the queries as text, so every engine compares the same value."""
-    from pyspark.sql import functions as F
     return F.date_format(F.col(col), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name or col)
 
 

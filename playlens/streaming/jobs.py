@@ -21,7 +21,7 @@ from playlens.operators import events as ev
 from playlens.operators.barrier import materialize
 from playlens.plans import recommend as rec
 from playlens.operators.ranking import ordered_position
-from playlens.schemas import GENRE_COUNTS, TITLE_GENRES
+from playlens.schemas import TITLE_GENRES
 from playlens.sources.envelope import stream_envelopes
 from playlens.streaming import state
 
