@@ -39,9 +39,13 @@ def media_stream(spark: SparkSession, source: str, deny: DataFrame,
 
 
 def with_event_time(df: DataFrame) -> DataFrame:
-    """``event_time``: the UTC wall clock as a ``timestamp`` (watermarks need that type)."""
-    return df.withColumn("event_time", F.to_utc_timestamp(F.col("date").cast("timestamp"),
-                                                          F.current_timezone()))
+    """``event_time``: the instant whose UTC wall clock is ``date`` (watermarks need a ``timestamp``).
+
+    The wall clock is first moved from UTC into the session zone, and the cast
+    reads it back in that zone, so the instant does not depend on the session.
+    """
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("date"))
+    return df.withColumn("event_time", local.cast("timestamp"))
 
 
 def dedup_stream(media: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:

@@ -85,3 +85,16 @@ def test_genre_baskets(spark):
     df = spark.createDataFrame([("a, a",), ("",), (None,), ("x, y",)], "g string")
     got = [r["b"] for r in df.select(genre_array("g").alias("b")).collect()]
     assert got == [["a"], None, None, ["x", "y"]]
+
+
+def test_event_time_instant_independent_of_session_zone(spark):
+    from playlens.streaming.jobs import with_event_time
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5),)], "date timestamp_ntz")
+            epoch = with_event_time(df).select(F.unix_micros("event_time").alias("u")).first()["u"]
+            assert epoch == int(dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc).timestamp() * 1e6)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
