@@ -29,6 +29,7 @@ DEDUP_DELAY = "3 days"      # longer than the pull overlap (2 days)
 COUNTS_SCHEMA = "genre string, counts bigint"
 MARK_SCHEMA = "mark bigint"
 STATS_SCHEMA = "kind string, title string, views bigint, rank int"
+RECS_SCHEMA = "rank int, title string, genres string, hits bigint"
 
 
 def media_stream(spark: SparkSession, source: str, deny: DataFrame,
@@ -264,24 +265,35 @@ class PlaybackBatchJob:
             resolved = materialize(rec.resolve_titles(titled.select("title"), self.catalogue, self.cache,
                                                       self.genre_links).join(titled, "title"))
             movies = rec.usable(resolved.filter(F.col("kind") == params.KIND_MOVIE))
-            old_counts = state.read_version(spark, self.root, "genre_counts", batch_id - 1,
+            if movies.isEmpty():
+                # no new movie of the user: counts and recommendations stay as they were
+                self._copy(spark, "genre_counts", COUNTS_SCHEMA, batch_id)
+                self._copy(spark, "movie_recommendations", RECS_SCHEMA, batch_id)
+            else:
+                old_counts = state.read_version(spark, self.root, "genre_counts", batch_id - 1,
+                                                _schema(COUNTS_SCHEMA))
+                counts = agg.merge_counts(old_counts, rec.genre_counts(movies))
+                state.write_version(counts, self.root, "genre_counts", batch_id)
+                counts = state.read_version(spark, self.root, "genre_counts", batch_id,
                                             _schema(COUNTS_SCHEMA))
-            counts = agg.merge_counts(old_counts, rec.genre_counts(movies))
-            state.write_version(counts, self.root, "genre_counts", batch_id)
-            counts = state.read_version(spark, self.root, "genre_counts", batch_id, _schema(COUNTS_SCHEMA))
-            top = rec.top_genres(counts)
-            hits = rec.genre_hits(top, self.lookup, self.genre_links, self.catalogue, "Movie")
-            movie_rec = rec.recommend_details(rec.top_titles(hits), self.catalogue, self.cache,
-                                              self.genre_links)
-            state.write_version(movie_rec, self.root, "movie_recommendations", batch_id)
+                top = rec.top_genres(counts)
+                hits = rec.genre_hits(top, self.lookup, self.genre_links, self.catalogue, "Movie")
+                movie_rec = rec.recommend_details(rec.top_titles(hits), self.catalogue, self.cache,
+                                                  self.genre_links)
+                state.write_version(movie_rec, self.root, "movie_recommendations", batch_id)
             # series recommendations from the first-wins title history
             series = resolved.filter(F.col("kind") == params.KIND_SERIES)
+            if rec.usable(series).isEmpty():
+                # no new series title: the history, its rules and the picks are unchanged
+                self._copy(spark, "title_genres", None, batch_id)
+                self._copy(spark, "series_recommendations", RECS_SCHEMA, batch_id)
+                return
             old_titles = state.read_version(spark, self.root, "title_genres", batch_id - 1, TITLE_GENRES)
             state.write_version(rec.series_history(series, old_titles), self.root, "title_genres", batch_id)
             titles = state.read_version(spark, self.root, "title_genres", batch_id, TITLE_GENRES)
             baskets = rec.series_baskets(titles)
             if baskets.filter(F.col("basket").isNotNull()).isEmpty():
-                series_rec = spark.createDataFrame([], "rank int, title string, genres string, hits bigint")
+                series_rec = spark.createDataFrame([], RECS_SCHEMA)
             else:
                 top_s = rec.top_genres(rec.predicted_genre_counts(baskets))
                 hits_s = rec.genre_hits(top_s, self.lookup, self.genre_links, self.catalogue, "Series")
@@ -291,15 +303,18 @@ class PlaybackBatchJob:
         finally:
             fresh.unpersist()
 
+    def _copy(self, spark: SparkSession, name: str, schema: str | None, batch_id: int) -> None:
+        """Version ``batch_id`` of ``name`` = version ``batch_id - 1`` (empty before the first)."""
+        struct = TITLE_GENRES if schema is None else _schema(schema)
+        prev = state.read_version(spark, self.root, name, batch_id - 1, struct)
+        state.write_version(prev, self.root, name, batch_id)
+
     def _carry(self, spark: SparkSession, batch_id: int) -> None:
         """An empty batch: every state table keeps its previous version."""
         for name, schema in (("stats", STATS_SCHEMA), ("genre_counts", COUNTS_SCHEMA),
-                             ("movie_recommendations", "rank int, title string, genres string, hits bigint"),
-                             ("series_recommendations", "rank int, title string, genres string, hits bigint")):
-            prev = state.read_version(spark, self.root, name, batch_id - 1, _schema(schema))
-            state.write_version(prev, self.root, name, batch_id)
-        prev = state.read_version(spark, self.root, "title_genres", batch_id - 1, TITLE_GENRES)
-        state.write_version(prev, self.root, "title_genres", batch_id)
+                             ("movie_recommendations", RECS_SCHEMA),
+                             ("series_recommendations", RECS_SCHEMA), ("title_genres", None)):
+            self._copy(spark, name, schema, batch_id)
 
 
 # ---- J8: daily views, watermarked tumbling window ---------------------------------------------
