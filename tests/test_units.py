@@ -98,3 +98,25 @@ def test_event_time_instant_independent_of_session_zone(spark):
             assert epoch == int(dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc).timestamp() * 1e6)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_small_helpers(spark):
+    import tempfile
+
+    from playlens.functions.text import padded_number, provider_id
+    from playlens.schemas import TITLE_GENRES
+    from playlens.sources import csvio, envelope
+
+    assert envelope.file_name(1) == "activity_01" and envelope.file_name(123) == "activity_123"
+    row = spark.range(1).select(
+        padded_number(F.lit(7)).alias("p"),
+        provider_id(F.create_map(F.lit("Tmdb"), F.lit("42"))).alias("hit"),
+        provider_id(F.create_map(F.lit("Imdb"), F.lit("x"))).alias("miss")).first()
+    assert (row["p"], row["hit"], row["miss"]) == ("07", "42", "")
+    missing = tempfile.mkdtemp(prefix="run-") + "/never_written"
+    empty = csvio.read_or_empty(spark, missing, TITLE_GENRES)
+    assert empty.count() == 0 and empty.columns == ["Title", "Genres"]
+    log = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 19))],
+                                "id bigint, date timestamp_ntz")
+    assert ev.pulled_since(log, None).count() == 2            # the first pull takes everything
+    assert [r.id for r in ev.pulled_since(log, "2024-01-20 00:00:00").collect()] == [2]
