@@ -6,16 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import near_dedup
+from playlens.llm import compression, mixing, near_dedup, quality_gam, sharding, toxicity
 from playlens.llm.common import read_table
 
 
+def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.compression_report(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "ratio", "n_chunks", "n_bad_chunks")
+
+
+def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op6_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op8_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    f.__name__: f for f in (op2_compression_bands, op4_rendezvous_sharding, op5_toxicity_gru, op6_quality_gam,
+                            op8_entropy_mixing, op10_minhash_near_dedup)
 }
 
 SQL: dict[str, str] = {}

@@ -57,6 +57,7 @@ class Block:
     def __init__(self, lo: int, hi: int, data: np.ndarray, offsets: np.ndarray):
         self.lo, self.hi, self.data, self.offsets = lo, hi, data, offsets
         self._words: tuple | None = None
+        self._prefix: dict[bool, np.ndarray] = {}
 
     @property
     def n(self) -> int:
@@ -87,9 +88,12 @@ class Block:
     def span_hashes(self, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
         """64-bit hashes of the byte spans."""
         power, inverse = _grow(len(self.data) + 1)
-        data = _LOWER[self.data] if lower else self.data
-        total = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=total[1:])
+        if lower not in self._prefix:
+            data = _LOWER[self.data] if lower else self.data
+            total = np.zeros(len(data) + 1, dtype=np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=total[1:])
+            self._prefix[lower] = total
+        total = self._prefix[lower]
         return fmix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
     def word_hashes(self, lower: bool = True) -> np.ndarray:
@@ -118,15 +122,9 @@ class Block:
             mixed = np.full(len(hashes) - size + 1, np.uint64(size))
             for j in range(size):
                 mixed = mixed * np.uint64(0xD6E8FEB86659FD93) + hashes[j:len(hashes) - size + 1 + j]
-            mixed = fmix64(mixed)
-            last = np.repeat(first[1:] - size, np.maximum(counts - size + 1, 0))
-            at = np.flatnonzero(counts >= size)
-            spans = [np.arange(first[i], first[i + 1] - size + 1) for i in at]
-            if spans:
-                source = np.concatenate(spans)
-                target = np.concatenate([np.arange(out_first[i], out_first[i + 1]) for i in at])
-                out[target] = mixed[source]
-            del last
+            long = np.maximum(counts - size + 1, 0)
+            step = np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
+            out[np.repeat(out_first[:-1], long) + step] = fmix64(mixed[np.repeat(first[:-1], long) + step])
         for i in short:
             value = np.full(1, np.uint64(counts[i]))
             for h in hashes[first[i]:first[i + 1]]:
