@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import compression, mixing, near_dedup, quality_gam, sharding, toxicity
+from playlens.llm import compression, decontaminate, mixing, near_dedup, quality_gam, sharding, toxicity
 from playlens.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ratio", "n_chunks", "n_bad_chunks")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op4_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"))
 
@@ -38,7 +42,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_compression_bands, op4_rendezvous_sharding, op5_toxicity_gru, op6_quality_gam,
+    f.__name__: f for f in (op2_compression_bands, op3_benchmark_decontamination, op4_rendezvous_sharding, op5_toxicity_gru, op6_quality_gam,
                             op8_entropy_mixing, op10_minhash_near_dedup)
 }
 
