@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import compression, decontaminate, mixing, near_dedup, quality_gam, sharding, toxicity
+from playlens.llm import compression, decontaminate, mixing, near_dedup, quality_gam, sharding, suffix_dedup, toxicity
 from playlens.llm.common import read_table
 
 
@@ -32,6 +32,10 @@ def op6_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_duplicate_substrings(read_table(spark, sf_dir, "documents"))
+
+
 def op8_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
@@ -43,7 +47,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_compression_bands, op3_benchmark_decontamination, op4_rendezvous_sharding, op5_toxicity_gru, op6_quality_gam,
-                            op8_entropy_mixing, op10_minhash_near_dedup)
+                            op7_suffix_array_dedup, op8_entropy_mixing, op10_minhash_near_dedup)
 }
 
 SQL: dict[str, str] = {}
