@@ -74,3 +74,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
             raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return (now.select(F.col("a").alias("node"), F.col("b").alias("component"))
             .unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct())
+
+
+def shingle_sql(table: str, ident: str, size: int, whole_if_shorter: bool) -> str:
+    """DuckDB: distinct (id, shingle) of a table's texts, A-Z lower-cased; without shorter texts unless asked for."""
+    short = (f"UNION SELECT {ident} AS id, array_to_string(w, ' ') FROM words WHERE len(w) BETWEEN 1 AND {size - 1}"
+             if whole_if_shorter else "")
+    return f"""(WITH words AS (SELECT {ident}, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM {table})
+  SELECT DISTINCT {ident} AS id, array_to_string(w[i:i + {size - 1}], ' ') AS s
+  FROM (SELECT {ident}, w, unnest(range(1, len(w) - {size - 2})) AS i FROM words) {short})"""

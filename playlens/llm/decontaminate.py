@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import written
+from playlens.llm.common import shingle_sql, written
 from playlens.llm.textblocks import blocks, fmix64
 
 SHINGLE_WORDS = 5
@@ -187,3 +187,12 @@ def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold an item."""
     hits = written(contaminated(docs, items, **options).select(F.col("doc_id").alias("_hit")).distinct(), "hits")
     return docs.join(hits, docs["doc_id"] == hits["_hit"], "left_anti")
+
+
+ORACLE_SQL = f"""
+WITH item AS MATERIALIZED {shingle_sql("benchmark", "item_id", SHINGLE_WORDS, False)},
+doc AS MATERIALIZED {shingle_sql("documents", "doc_id", SHINGLE_WORDS, False)},
+sizes AS (SELECT id, count(*) AS n FROM item GROUP BY id),
+hits AS (SELECT doc.id AS doc_id, item.id AS item_id, count(*) AS shared FROM item JOIN doc USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n AS n_shingles, shared AS n_shared, shared / n AS containment
+FROM hits JOIN sizes ON item_id = id WHERE {DEN} * shared >= {NUM} * n"""

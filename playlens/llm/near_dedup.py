@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import connected_components, written
+from playlens.llm.common import connected_components, shingle_sql, written
 from playlens.llm.textblocks import blocks, fmix64
 
 SHINGLE_WORDS = 5
@@ -252,3 +252,16 @@ def near_duplicate_groups(docs: DataFrame, num: int = 85, den: int = 100, shingl
     component = F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+ORACLE_SQL = f"""
+WITH RECURSIVE sh AS MATERIALIZED {shingle_sql("documents", "doc_id", SHINGLE_WORDS, True)},
+sizes AS (SELECT id, count(*) AS n FROM sh GROUP BY id),
+pairs AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.id <> b.id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM pairs JOIN sizes x ON a = x.id JOIN sizes y ON b = y.id
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+  doc_id = least(doc_id, coalesce(low, doc_id)) AS kept
+FROM documents LEFT JOIN sizes ON doc_id = id LEFT JOIN least ON doc_id = a"""

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlens.llm import compression, decontaminate, mixing, near_dedup, quality_gam, sharding, suffix_dedup, toxicity
+from playlens.llm import compression, decontaminate, licenses, mixing, near_dedup, passages, quality_gam, sharding, suffix_dedup, toxicity
 from playlens.llm.common import read_table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(licenses.document_paths(read_table(spark, sf_dir, "documents")))
+
+
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.compression_report(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -41,13 +45,23 @@ def op8_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op9_compact_window_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_classes(read_table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_compression_bands, op3_benchmark_decontamination, op4_rendezvous_sharding, op5_toxicity_gru, op6_quality_gam,
-                            op7_suffix_array_dedup, op8_entropy_mixing, op10_minhash_near_dedup)
+    f.__name__: f for f in (op1_license_scan, op2_compression_bands, op3_benchmark_decontamination, op4_rendezvous_sharding, op5_toxicity_gru, op6_quality_gam,
+                            op7_suffix_array_dedup, op8_entropy_mixing, op9_compact_window_passages,
+                            op10_minhash_near_dedup)
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_license_scan": licenses.ORACLE_SQL,
+    "op3_benchmark_decontamination": decontaminate.ORACLE_SQL,
+    "op4_rendezvous_sharding": sharding.ORACLE_SQL,
+    "op10_minhash_near_dedup": near_dedup.ORACLE_SQL,
+}

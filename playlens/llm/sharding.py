@@ -75,3 +75,30 @@ def shard_documents(docs: DataFrame, shards=SHARDS, new_weight: float = 1.0) ->
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"),
                       F.explode(F.sequence(first, first + F.col("_n") - 1)).alias("slot"),
                       F.col("grown_shard").cast("int").alias("grown_shard"))
+
+
+def _sql() -> str:
+    def unit(text):
+        return f"(('0x' || substr(md5({text}), 1, 13))::BIGINT)"
+
+    def score(shard, weight):
+        return f"(-ln(({unit(f"name || '/' || {shard}")} + 0.5) / {float(1 << 52)!r}) / {weight!r})"
+    scores = ", ".join(f"{{'score': {score(j, w)}, 'shard': {j}}}" for j, w in SHARDS)
+    grown = max(j for j, _ in SHARDS) + 1
+    return f"""
+WITH steps AS (SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+rows AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+    CASE WHEN coalesce(text, '') = '' THEN 0 ELSE xor(4294967295, list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split(trim(regexp_replace(hex(encode(text)), '(..)', '\\1 ', 'g')), ' '),
+        lambda h: ('0x' || h)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) END AS text_crc32,
+    coalesce(doc_id::VARCHAR, 'null') AS name FROM documents, steps),
+placed AS (SELECT *, list_min([{scores}]) AS best, {score(grown, 1.0)} AS fresh,
+    {unit("'slot/' || name || '/' || size || '/' || text_crc32")} AS h FROM rows)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, best.shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY best.shard ORDER BY h, doc_id, size, text_crc32) - 1 AS slot,
+  CASE WHEN fresh < best.score THEN {grown} ELSE best.shard END::INTEGER AS grown_shard
+FROM placed"""
+
+
+ORACLE_SQL = _sql()
