@@ -5,7 +5,7 @@ is its count times ``ln((1 + N) / (1 + df)) + 1`` with N and df counted over all
 files; a term outside the templates counts as never seen.  Every line of a file
 is compared to every template, and for licence files the whole text too; a file's
 own license is the template of greatest cosine, if that reaches the threshold
-(ties: the first template, then the first line; the whole text is line -1).
+(ties: the first template, then the first line; the whole text is line -1, no license line -2).
 
 Only lines that can reach the threshold are weighed.  A template's terms of
 greatest weight are its anchors, taken until the rest alone stays under the
@@ -14,7 +14,7 @@ match, so the filter loses nothing.
 
 A file without a license of its own takes that of the nearest folder above it
 that has one.  A folder's license comes from its licence files (by name), else
-from files whose first line is a notice; of several the smallest path decides.
+from files whose first or last line is a notice; of several the smallest path decides.
 Folders are joined by path, once per distinct folder, not per file.
 
 Null and empty texts have no license of their own and can inherit.  Files with a
@@ -121,10 +121,13 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
             F.substring_index("path", "/", -1).rlike(LICENSE_NAMES), F.lit(False)))
     # segments that hold an anchor
     able = rows.filter(_lowered(F.col("text")).rlike(any_anchor)).select("path", "_h", "_dir", "_named", "text").dropDuplicates(["path", "_h"])
-    lines = able.select("path", "_h", F.posexplode(F.split("text", "\n")).alias("line_no", "segment"))
-    whole = able.filter("_named").select("path", "_h", F.lit(-1).alias("line_no"), F.col("text").alias("segment"))
+    lines = able.withColumn("_lines", F.split("text", "\n")).select(
+        "path", "_h", F.posexplode("_lines").alias("line_no", "segment"), F.size("_lines").alias("n_lines")).select(
+        "path", "_h", "line_no", "segment", F.col("line_no").isin(0, F.col("n_lines") - 1).alias("edge"))
+    whole = able.filter("_named").select("path", "_h", F.lit(-1).alias("line_no"), F.col("text").alias("segment"),
+                                         F.lit(False).alias("edge"))
     segments = lines.unionByName(whole).filter(_lowered(F.col("segment")).rlike(any_anchor))
-    key = ["path", "_h", "line_no"]
+    key = ["path", "_h", "line_no", "edge"]
     terms = (segments.select(*key, F.explode(_terms(F.col("segment"))).alias("term"))
              .groupBy(*key, "term").agg(F.count(F.lit(1)).alias("tf")))
     idf = _values(spark, [(t, w) for t, w in sorted(weights.idf.items())], "term, idf")
@@ -136,11 +139,11 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
     dots = weighed.join(F.broadcast(vectors), "term").groupBy(*key, "template").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
     same = F.col("l.path").eqNullSafe(F.col("r.path")) & (F.col("l._h") == F.col("r._h")) & (F.col("l.line_no") == F.col("r.line_no"))
     scored = (dots.alias("l").join(norms.alias("r"), same)
-              .select("l.path", "l._h", "l.line_no", "l.template", F.round(F.col("dot") / F.col("norm"), DIGITS).alias("cosine"))
+              .select("l.path", "l._h", "l.line_no", "l.edge", "l.template", F.round(F.col("dot") / F.col("norm"), DIGITS).alias("cosine"))
               .filter(F.col("cosine") >= threshold))
     best = scored.groupBy("path", "_h").agg(
         F.max(F.struct("cosine", (-F.col("template")).alias("t"), (-F.col("line_no")).alias("l"))).alias("b"),
-        F.max(F.col("line_no") == 0).alias("opens"))
+        F.max("edge").alias("opens"))
     names = _values(spark, [(i, name) for i, (name, _) in enumerate(templates)], "template, own_license")
     best = (best.select("path", "_h", "opens", F.col("b.cosine").alias("cosine"), (-F.col("b.l")).alias("line_no"),
                         (-F.col("b.t")).alias("template")).join(F.broadcast(names), "template").drop("template"))
@@ -159,8 +162,8 @@ def scan_licenses(files: DataFrame, templates=TEMPLATES, threshold: float = THRE
         .select("_dir", "f.license_dir", "f.inherited_license"))
     own = best.select(F.col("path").alias("_p"), F.col("_h").alias("_bh"), "cosine", "line_no", "own_license")
     out = rows.drop("text").join(own, F.col("path").eqNullSafe(F.col("_p")) & (F.col("_h") == F.col("_bh")), "left").join(nearest, "_dir", "left")
-    return out.select("doc_id", "path", "own_license", "cosine", "line_no", "inherited_license", "license_dir",
-                      F.coalesce("own_license", "inherited_license").alias("license"))
+    return out.select("doc_id", "path", "own_license", "cosine", F.coalesce("line_no", F.lit(-2)).alias("line_no"),
+                      "inherited_license", "license_dir", F.coalesce("own_license", "inherited_license").alias("license"))
 
 
 def document_paths(docs: DataFrame) -> DataFrame:
@@ -209,11 +212,12 @@ scored AS (SELECT path, line_no, template, round(sum(weighed.w * tvec.w) / any_v
   GROUP BY path, line_no, template HAVING cosine >= {THRESHOLD}),
 best AS (SELECT path, cosine, line_no, name AS own_license FROM scored JOIN templates USING (template)
   QUALIFY row_number() OVER (PARTITION BY path ORDER BY cosine DESC, template, line_no) = 1),
-opens AS (SELECT DISTINCT path FROM scored WHERE line_no = 0),
+edges AS (SELECT path, len(string_split(text, chr(10))) - 1 AS last FROM files),
+opens AS (SELECT DISTINCT path FROM scored JOIN edges USING (path) WHERE line_no IN (0, last)),
 folder AS (SELECT dir, arg_min(own_license, path) AS inherited FROM rows JOIN best USING (path) SEMI JOIN opens USING (path) GROUP BY dir),
 nearest AS (SELECT d.dir, arg_max(folder.dir, length(folder.dir)) AS license_dir, arg_max(inherited, length(folder.dir)) AS inherited_license
   FROM (SELECT DISTINCT dir FROM rows) d JOIN folder ON d.dir = folder.dir OR starts_with(d.dir, folder.dir || '/') GROUP BY d.dir)
-SELECT doc_id, path, own_license, cosine, line_no::INTEGER AS line_no, inherited_license, license_dir,
+SELECT doc_id, path, own_license, cosine, coalesce(line_no, -2)::INTEGER AS line_no, inherited_license, license_dir,
   coalesce(own_license, inherited_license) AS license
 FROM rows LEFT JOIN best USING (path) LEFT JOIN nearest USING (dir)"""
 

@@ -140,3 +140,24 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, share: float = TOTAL_SHARE,
             .join(sources.select("sid", F.col("source_size").cast("long").alias("source_size"), "target"), "sid")
             .select("doc_id", "source", "size", "source_size", "target", "rate", "copies",
                     (F.col("copies") * F.col("size")).alias("taken")))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs``, all columns, each row as often as the mix takes it (not at all, or up to the cap)."""
+    chosen = written(mix_documents(docs, **options).select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")), "mix")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))
+    if chosen.groupBy("_id").count().filter("count > 1").isEmpty():
+        joined = docs.join(chosen.filter("_copies > 0"), same)
+    else:   # repeated ids: rows of equal source and size take the group's copies in turn
+        group = ["_id", "_source", "_size"]
+        order = Window.partitionBy(*group).orderBy(F.col("_copies").desc())
+        chosen = chosen.withColumn("_turn", F.row_number().over(order))
+        size = F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long")
+        mine = docs.withColumn("_dsize", size).withColumn("_turn", F.row_number().over(
+            Window.partitionBy("doc_id", "source", "_dsize").orderBy(F.xxhash64("text"))))
+        joined = mine.join(chosen.filter("_copies > 0").withColumnRenamed("_turn", "_t"),
+                           same & mine["source"].cast("string").eqNullSafe(F.col("_source"))
+                           & (mine["_dsize"] == F.col("_size")) & (mine["_turn"] == F.col("_t")))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(
+        *[docs[c] for c in docs.columns])

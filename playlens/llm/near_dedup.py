@@ -254,6 +254,23 @@ def near_duplicate_groups(docs: DataFrame, num: int = 85, den: int = 100, shingl
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
 
 
+def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
+    """``docs``, all columns, with one document of every near-duplicate group.
+
+    A document goes when none of its rows is kept; rows without ``doc_id`` stay.
+    Equal rows of one id become one.
+    """
+    groups = written(near_duplicate_groups(docs, **options), "groups")
+    per_id = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("k"), F.count(F.lit(1)).alias("n"))
+    gone = per_id.filter("not k").select(F.col("doc_id").alias("_gone"))
+    out = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    repeated = per_id.filter("k and n > 1").select(F.col("doc_id").alias("_again"))
+    if repeated.isEmpty():
+        return out
+    again = out["doc_id"].cast("long") == repeated["_again"]
+    return out.join(repeated, again, "left_anti").unionByName(out.join(repeated, again, "left_semi").distinct())
+
+
 ORACLE_SQL = f"""
 WITH RECURSIVE sh AS MATERIALIZED {shingle_sql("documents", "doc_id", SHINGLE_WORDS, True)},
 sizes AS (SELECT id, count(*) AS n FROM sh GROUP BY id),
