@@ -47,7 +47,8 @@ def genre_string(genres: str | Column, sep: str = params.GENRE_SEPARATOR) -> Col
 
 def padded_number(n: str | Column, width: int = params.FILE_NUMBER_WIDTH) -> Column:
     """``str(n).zfill(width)`` for non-negative numbers."""
-    return F.lpad(_c(n).cast("string"), width, "0")
+    digits = _c(n).cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
 
 
 def provider_id(ids: str | Column, provider: str = "Tmdb") -> Column:

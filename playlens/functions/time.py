@@ -21,14 +21,23 @@ def event_time(date: str | Column) -> Column:
     """Log ``Date`` string -> UTC wall-clock ``timestamp_ntz``; malformed -> null.
 
     Log dates look like ``2024-04-20T12:34:56.1234567Z``.  ``try_to_timestamp``
-    reads the zone suffix (fractions past microseconds are cut), the result
-    is moved from the session zone to UTC, so the value does not depend on
-    the session's time zone.  A malformed date gives null instead of failing
-    the whole micro-batch.
+    reads the zone suffix (fractions past microseconds are cut) into an
+    instant, and the wall clock is built from the instant's microseconds since
+    the epoch, so no session zone (and no repeated autumn hour) comes into it.
+    A malformed date gives null instead of failing the whole micro-batch.
     """
     c = F.col(date) if isinstance(date, str) else date
-    local = F.try_to_timestamp(c).cast("timestamp_ntz")
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+    return F.timestamp_add("MICROSECOND", F.unix_micros(F.try_to_timestamp(c)), _epoch())
+
+
+def instant(wall: str | Column) -> Column:
+    """The ``timestamp`` whose UTC wall clock is the given ``timestamp_ntz``, whatever the session zone."""
+    c = F.col(wall) if isinstance(wall, str) else wall
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), c))
+
+
+def _epoch() -> Column:
+    return ntz_literal("1970-01-01 00:00:00")
 
 
 def range_start(as_of: str | dt.datetime | Column, time_range: str) -> Column:

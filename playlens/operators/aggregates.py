@@ -1,7 +1,7 @@
 """Aggregations, unions and keep-first de-duplication.
 
-All of them are hash aggregates with a partial (map-side) phase, so a hot
-key is combined inside each task before anything is shuffled.
+All of them have a partial (map-side) phase (sort-based where ``min_by`` keeps
+strings), so a hot key is combined inside each task before the shuffle.
 """
 
 from __future__ import annotations

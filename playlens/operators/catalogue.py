@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from playlens import params
 from playlens.operators.aggregates import keep_first
 from playlens.operators.barrier import materialize
-from playlens.operators.textjoin import broadcast_if_small, contains_matches
+from playlens.operators.textjoin import broadcast_if_small, first_containing
 
 STATUS_OK = "ok"                    # item found, English title from the cache
 STATUS_UNRESOLVED = "unresolved"    # provider id not in the cache: catalogue title kept
@@ -32,7 +32,8 @@ def search_catalogue(terms: DataFrame, catalogue: DataFrame, term_col: str = "ti
 
     A candidate is a Series/Movie item whose title contains the term,
     case-insensitively.  The first candidate is the exact (case-insensitive)
-    title match if there is one, then the smallest ``item_id``.  Terms are
+    title match if there is one, then the smallest ``item_id``; the empty term
+    is contained in every title.  Terms are
     joined by equality first; only terms without an exact match go through
     the gram-indexed ``contains`` join.  Output: ``term_col, item_id,
     item_type, item_title, tmdb_id`` (item columns null when nothing matches).
@@ -54,10 +55,9 @@ def search_catalogue(terms: DataFrame, catalogue: DataFrame, term_col: str = "ti
     rest = wanted.join(exact.select("_term"), "_term", "left_anti")
     candidates = exact
     if not rest.isEmpty():
-        pairs = contains_matches(cands.select("item_title"), "item_title", rest, "_term", lower=True)
-        fuzzy = pairs.join(cands, "item_title").select(
-            "_term", F.lit(1).alias("_exact"), "item_id", "item_type", "item_title", "tmdb_id")
-        candidates = exact.unionByName(fuzzy)
+        fuzzy = first_containing(cands, "item_title", "item_id", ["item_id", "item_type", "item_title", "tmdb_id"],
+                                 rest, "_term")
+        candidates = exact.unionByName(fuzzy.withColumn("_exact", F.lit(1)).select(exact.columns))
 
     best = keep_first(candidates, "_term", F.struct("_exact", "item_id"),
                       ["item_id", "item_type", "item_title", "tmdb_id"])
@@ -84,26 +84,45 @@ def search_exact(terms: DataFrame, catalogue: DataFrame, term_col: str = "title"
 
 
 def english_lookup(cache: DataFrame) -> DataFrame:
-    """The English-title cache keyed by provider id (as string), one title per id.
+    """The English-title cache, one title per key: ``tmdb_id`` (as string), and ``item_type`` if it has one.
 
-    When an id appears more than once the smallest title wins, so the result
-    does not depend on file order.
+    Movies and series number their ids separately, so a cache of both kinds
+    carries ``item_type``.  Of several entries for a key the first wins: the
+    smallest ``seq`` (place in the file) where the cache has one, then the
+    smallest title.
     """
-    keyed = cache.select(F.col("tmdb_id").cast("string").alias("tmdb_id"), F.col("title").alias("en_title"))
-    return keep_first(keyed.filter(F.col("tmdb_id").isNotNull()), "tmdb_id", "en_title", ["en_title"])
+    keys = _cache_keys(cache)
+    seq = F.col("seq").cast("bigint") if "seq" in cache.columns else F.lit(0).cast("bigint")
+    keyed = cache.select(*[F.col(k).cast("string").alias(k) for k in keys], F.col("title").alias("en_title"),
+                         seq.alias("_seq")).filter(F.col("tmdb_id").isNotNull())
+    return keep_first(keyed, keys, F.struct("_seq", "en_title"), ["en_title"])
 
 
-def english_titles(found: DataFrame, cache: DataFrame) -> DataFrame:
+def _cache_keys(cache: DataFrame) -> list[str]:
+    return ["item_type", "tmdb_id"] if "item_type" in cache.columns else ["tmdb_id"]
+
+
+def english_titles(found: DataFrame, cache: DataFrame, known_max: int | None = None) -> DataFrame:
     """Add ``english_title`` and ``status`` to rows that carry an item.
 
     ``status``: ok (from the cache), unresolved (id not cached: the catalogue
-    title stands in), no_tmdb_id, no_item.
+    title stands in), no_tmdb_id, no_item.  Only cache entries of wanted ids
+    are aggregated; ``known_max`` bounds the rows of ``found`` (a top-k list).
+    Rows without an id are spread by item, so they never meet in one task.
     """
-    # The cache grows with the catalogue: no hint, AQE broadcasts it at run
-    # time only when its measured size is under the broadcast threshold.
-    lookup = english_lookup(cache)
+    keys = _cache_keys(cache)
+    wanted = found.filter(F.col("tmdb_id").isNotNull()).select(*keys).distinct()
+    if known_max is not None:
+        wanted = broadcast_if_small(wanted, known_max)
+    typed = cache.withColumn("tmdb_id", F.col("tmdb_id").cast("string"))
+    lookup = english_lookup(typed.join(wanted, keys, "left_semi")).withColumnRenamed("tmdb_id", "_en_id")
     tmdb = F.col("tmdb_id")
-    joined = found.join(lookup, "tmdb_id", "left")
+    spread = F.coalesce(tmdb, F.concat(F.lit("none "), F.coalesce(F.col("item_id").cast("string"), F.col(found.columns[0]).cast("string"))))
+    same = F.col("_spread") == F.col("_en_id")
+    if len(keys) > 1:
+        lookup = lookup.withColumnRenamed("item_type", "_en_type")
+        same = same & (F.col("item_type") == F.col("_en_type"))
+    joined = found.withColumn("_spread", spread).join(lookup, same, "left")
     status = (
         F.when(F.col("item_id").isNull(), F.lit(STATUS_NO_ITEM))
         .when(tmdb.isNull() | (tmdb == ""), F.lit(STATUS_NO_TMDB_ID))
@@ -117,7 +136,8 @@ def english_titles(found: DataFrame, cache: DataFrame) -> DataFrame:
 def missing_english(items: DataFrame, cache: DataFrame) -> DataFrame:
     """Items whose provider id is not in the cache: the to-resolve table (C3 misses)."""
     keyed = items.filter(F.col("tmdb_id").isNotNull() & (F.col("tmdb_id") != ""))
-    return keyed.join(english_lookup(cache).select("tmdb_id"), "tmdb_id", "left_anti")
+    keys = [k for k in _cache_keys(cache) if k in items.columns]
+    return keyed.join(english_lookup(cache).select(*keys).distinct(), keys, "left_anti")
 
 
 def item_genres(genre_links: DataFrame) -> DataFrame:
@@ -128,13 +148,12 @@ def item_genres(genre_links: DataFrame) -> DataFrame:
 def with_genres(rows: DataFrame, genre_links: DataFrame, known_max: int | None = None) -> DataFrame:
     """Add ``genres`` (array, empty when the item has none) by ``item_id``.
 
-    The genre links are semi-joined to the wanted items before grouping;
-    Spark pushes that semi-join down to the scan side of the links, so only
-    the lines of wanted items are aggregated.
+    The genre links are semi-joined to the wanted items before grouping.
     """
-    ids = rows.select("item_id").filter(F.col("item_id").isNotNull()).distinct()
-    if known_max is not None:           # a proven bound: broadcast without counting
-        ids = broadcast_if_small(ids, known_max)
+    # Wanted items are computed once; up to the bound they are broadcast, so the
+    # filter runs before the links are shuffled for anything.
+    ids = materialize(rows.select("item_id").filter(F.col("item_id").isNotNull()).distinct())
+    ids = broadcast_if_small(ids, known_max)
     g = item_genres(genre_links.join(ids, "item_id", "left_semi"))
     return rows.join(g, "item_id", "left").withColumn(
         "genres", F.coalesce(F.col("genres"), F.array().cast("array<string>")))
@@ -156,6 +175,10 @@ def titles_by_genres(ids: DataFrame, lookup: DataFrame, genre_links: DataFrame,
     """
     chosen = ids.select(F.col("id").alias("genre_id")).join(
         lookup.select(F.col("id").alias("genre_id"), F.col("name").alias("genre")), "genre_id")
+    if known_max is not None and known_max <= params.FILTER_NAMES:
+        # A few names: as a filter they reach the scan below the links' distinct.
+        chosen = materialize(chosen)
+        genre_links = genre_links.filter(F.col("genre").isin([r["genre"] for r in chosen.collect()]))
     chosen = broadcast_if_small(chosen, known_max)
     items = catalogue.filter(F.col("type") == item_type).select("item_id", "title")
     return genre_links.join(chosen, "genre").join(items, "item_id").select("genre_id", "item_id", "title")

@@ -49,12 +49,6 @@ def item_names(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(F.explode(F.col("Items.Name")).alias("name"))
 
 
-def common_columns(left: DataFrame, right: DataFrame) -> list[str]:
-    """Columns both frames have, in the left frame's order."""
-    right_cols = set(right.columns)
-    return [c for c in left.columns if c in right_cols]
-
-
 # ---- B5-B7: filters and extraction -------------------------------------------------
 
 def filter_event_type(log: DataFrame, types: list[str] | None = None) -> DataFrame:
@@ -69,25 +63,42 @@ def filter_denylist(log: DataFrame, deny: DataFrame, pattern_col: str = "pattern
     ``mode="literal"`` matches entries as plain substrings; ``mode="regex"``
     treats them as unanchored regular expressions, like an alternation of all
     entries.  A null sentence is dropped too.  A deny-list of checked size is
-    broadcast to a nested-loop anti join (no shuffle of the log); a larger
-    literal list goes through the exact gram-indexed join.  ``known_max`` is
-    a size bound the caller proves (a list built from constants); without it
-    the deny-list rows are counted.
+    broadcast to a nested-loop anti join (no shuffle of the log).  A larger
+    literal list goes through the exact gram-indexed join; a larger list of
+    regular expressions, or for a stream, is taken in blocks of bounded size,
+    one anti join each.  ``known_max`` is a size bound the caller proves (a
+    list built from constants); without it the deny-list rows are counted.
     """
     pats = deny.select(F.col(pattern_col).alias("_deny")).filter(
         F.col("_deny").isNotNull() & (F.length("_deny") > 0))
     text = F.col(text_col)
     live = log.filter(text.isNotNull())
-    small = known_max is not None and known_max <= params.BROADCAST_ROW_LIMIT
-    if log.isStreaming or small or row_count_at_most(pats, params.BROADCAST_ROW_LIMIT):
-        cond = F.expr(f"`{text_col}` RLIKE _deny") if mode == "regex" else text.contains(F.col("_deny"))
+    cond = F.expr(f"`{text_col}` RLIKE _deny") if mode == "regex" else text.contains(F.col("_deny"))
+    limit = params.BROADCAST_ROW_LIMIT
+    if (known_max is not None and known_max <= limit) or row_count_at_most(pats, limit):
         return live.join(F.broadcast(pats), cond, "left_anti")
-    if mode == "regex":
-        raise ValueError("regex deny-lists above the broadcast bound are not supported; use literal mode")
+    if mode == "regex" or log.isStreaming:
+        n_blocks = -(-2 * pats.count() // limit)        # hash blocks of half the limit on average
+        block = F.pmod(F.xxhash64("_deny"), F.lit(n_blocks))
+        for b in range(n_blocks):
+            live = live.join(F.broadcast(pats.filter(block == b)), cond, "left_anti")
+        return live
     hits = contains_matches(live.select(text_col), text_col, pats, "_deny").select(text_col).distinct()
     return live.join(hits, text_col, "left_anti")
 
 
+def denylist_hits(log: DataFrame, deny: DataFrame, pattern_col: str = "pattern", text_col: str = "name") -> DataFrame:
+    """Rows of the log with each deny-list entry their sentence contains.
+
+    A list of checked size is broadcast and the log is not shuffled; a larger
+    one goes through the gram-indexed join on the distinct sentences.
+    """
+    pats = deny.select(F.col(pattern_col)).filter(F.length(pattern_col) > 0).distinct()
+    if row_count_at_most(pats, params.BROADCAST_ROW_LIMIT):
+        return log.join(F.broadcast(pats), F.col(text_col).contains(F.col(pattern_col)))
+    return log.join(contains_matches(log.select(text_col), text_col, pats, pattern_col), text_col)
+
+
 def with_media_name(log: DataFrame, pattern: str = params.MEDIA_NAME_PATTERN) -> DataFrame:
     """Add ``media_name`` (title from the sentence); drop rows without one."""
     return log.withColumn("media_name", media_name("name", pattern)).filter(
@@ -107,8 +118,9 @@ def user_history(log: DataFrame, user_id: str = params.DEFAULT_USER) -> DataFram
 
 
 def in_time_range(log: DataFrame, as_of, time_range: str, time_col: str = "date") -> DataFrame:
-    """Rows with ``time_col >= as_of - range`` (week, month or half_year)."""
-    return log.filter(F.col(time_col) >= range_start(as_of, time_range))
+    """Rows of the range that ends at ``as_of``: ``as_of - range <= time_col <= as_of``."""
+    end = as_of if isinstance(as_of, Column) else ntz_literal(as_of)
+    return log.filter((F.col(time_col) >= range_start(as_of, time_range)) & (F.col(time_col) <= end))
 
 
 def pulled_since(log: DataFrame, as_of=None, overlap_days: int = params.PULL_OVERLAP_DAYS,

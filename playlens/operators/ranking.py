@@ -8,9 +8,6 @@ range bounds cannot change between the two passes), count rows per
 ``(partition, group)``, prefix-sum those small counts, and add each row's
 offset inside its partition.  The prefix sum runs over at most one row per
 range partition for each group.
-
-Top-k per group (``row_number() <= k``) does not need this: Spark plans it as
-a group limit that keeps k rows per group in every task before the shuffle.
 """
 
 from __future__ import annotations
@@ -47,15 +44,3 @@ def ordered_position(df: DataFrame, partition_by: list[str], order_by: list[Colu
         *df.columns,
         (F.col("_before") + (F.col("_mid") - F.col("_first")) + 1).cast("int").alias(name),
     )
-
-
-def top_k(df: DataFrame, order_by: list[Column], k: int) -> DataFrame:
-    """The first ``k`` rows in ``order_by`` order (per-task top-k, then a merge)."""
-    return df.orderBy(*order_by).limit(k)
-
-
-def top_k_per_group(df: DataFrame, partition_by: list[str], order_by: list[Column], k: int,
-                    name: str = "rank") -> DataFrame:
-    """The first ``k`` rows of every group, numbered 1..k (planned as a group limit)."""
-    w = Window.partitionBy(*partition_by).orderBy(*order_by)
-    return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)

@@ -50,6 +50,35 @@ def contains_matches(texts: DataFrame, text_col: str, patterns: DataFrame, patte
     keeps the original strings).  Null and empty patterns match nothing.
     """
     norm = (lambda c: F.lower(c)) if lower else (lambda c: c)
+    hay = (texts.select(F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
+           .withColumn("_tnorm", norm(F.col("_text"))))
+    met = _met(hay, patterns, pattern_col, gram, norm)
+    if met is None:
+        return texts.sparkSession.createDataFrame([], f"`{text_col}` string, `{pattern_col}` string")
+    return met.select(F.col("_text").alias(text_col), F.col("_pattern").alias(pattern_col)).distinct()
+
+
+def first_containing(items: DataFrame, text_col: str, order_col: str, values: list[str], patterns: DataFrame,
+                     pattern_col: str, gram: int = 3) -> DataFrame:
+    """For each pattern the item of smallest ``order_col`` whose text contains it, whatever the case.
+
+    The first item is chosen by an aggregate with a partial phase right behind
+    the join, so a pattern that most texts contain costs one row per task, and
+    no table of pairs is made.  The empty pattern is contained in every text.
+    Output: ``pattern_col`` and the ``values`` columns, one row per pattern found.
+    """
+    chosen = F.min_by(F.struct(*values), F.col(order_col)).alias("_first")
+    hay = items.filter(F.col(text_col).isNotNull()).withColumn("_tnorm", F.lower(text_col))
+    empty = patterns.filter(F.length(pattern_col) == 0).select(pattern_col).distinct()
+    found = empty.join(F.broadcast(hay.agg(chosen)), F.col("_first").isNotNull())
+    met = _met(hay, patterns, pattern_col, gram, F.lower)
+    if met is not None:
+        found = found.unionByName(met.groupBy(F.col("_pattern").alias(pattern_col)).agg(chosen))
+    return found.select(pattern_col, *[F.col(f"_first.{v}").alias(v) for v in values])
+
+
+def _met(hay: DataFrame, patterns: DataFrame, pattern_col: str, gram: int, norm) -> DataFrame | None:
+    """Rows of ``hay`` (with ``_tnorm``) joined to the patterns they contain; None without patterns."""
     pats = (
         patterns.select(F.col(pattern_col).alias("_pattern"))
         .filter(F.col("_pattern").isNotNull() & (F.length("_pattern") > 0))
@@ -61,30 +90,14 @@ def contains_matches(texts: DataFrame, text_col: str, patterns: DataFrame, patte
     # One small job: which gram lengths are needed (at most ``gram`` values)
     # and how many patterns there are (decides the broadcast).
     per_length = {r[0]: r[1] for r in pats.groupBy("_g").count().collect()}
-    lengths = sorted(per_length)
-    if not lengths:
-        return texts.sparkSession.createDataFrame([], f"`{text_col}` string, `{pattern_col}` string")
-    hay = (
-        texts.select(F.col(text_col).alias("_text"))
-        .filter(F.col("_text").isNotNull())
-        .distinct()
-        .withColumn("_tnorm", norm(F.col("_text")))
-    )
+    if not per_length:
+        return None
     grams = None
-    for g in lengths:
-        one = hay.select(
-            "_text", "_tnorm", F.lit(g).alias("_g"),
-            F.explode(
-                F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.length("_tnorm") - g + 1, F.lit(0))),
-                    lambda i: F.substring(F.col("_tnorm"), i, g),
-                )
-            ).alias("_key"),
-        )
+    for g in sorted(per_length):
+        one = hay.withColumn("_g", F.lit(g)).withColumn("_key", F.explode(F.array_distinct(F.transform(
+            F.filter(F.sequence(F.lit(1), F.greatest(F.length("_tnorm") - g + 1, F.lit(1))),
+                     lambda i: i + g - 1 <= F.length("_tnorm")),
+            lambda i: F.substring(F.col("_tnorm"), i, g)))))
         grams = one if grams is None else grams.unionByName(one)
-    return (
-        grams.join(broadcast_if_small(pats, known_max=sum(per_length.values())), ["_g", "_key"])
-        .filter(F.col("_tnorm").contains(F.col("_pnorm")))
-        .select(F.col("_text").alias(text_col), F.col("_pattern").alias(pattern_col))
-        .distinct()
-    )
+    pats = broadcast_if_small(pats, known_max=sum(per_length.values()))
+    return grams.join(pats, ["_g", "_key"]).filter(F.col("_tnorm").contains(F.col("_pnorm")))

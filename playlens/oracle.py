@@ -340,7 +340,7 @@ pulls AS (
   SELECT id, k + 2 AS pull FROM kk WHERE k + 1 <= 3 AND pos >= (k + 1) * width - 0.1 * width
 )"""
 register("pack_envelope", """
-SELECT lpad(CAST(pull AS VARCHAR), 2, '0') AS file_no, count(DISTINCT floor(id / 5000)) AS documents,
+SELECT lpad(CAST(pull AS VARCHAR), CAST(greatest(length(CAST(pull AS VARCHAR)), 2) AS INTEGER), '0') AS file_no, count(DISTINCT floor(id / 5000)) AS documents,
        count(*) AS items, count(*) AS total_record_count
 FROM pulls GROUP BY pull""", PULLS)
 register("flatten_log", f"SELECT id, {TS}, user_id, type, name FROM playback_log")
@@ -409,3 +409,50 @@ WHERE status IN ('ok', 'unresolved') GROUP BY english_title""", FIRST_PULL)
 register("stream_daily_views", """
 SELECT strftime(date, '%Y-%m-%d') AS day, kind, title, count(*) AS views
 FROM titled GROUP BY 1, 2, 3""")
+
+register("stream_dedup_out_of_order", "SELECT id, user_id, media_name FROM media_events")
+register("stream_flatten_multiline", """
+SELECT m.id, m.user_id, m.media_name FROM media_events m JOIN pulls p ON p.id = m.id""", PULLS)
+register("stream_statistics_backlog", "SELECT kind, title, views, rank FROM stats", STATS)
+SQL["stream_chart_table"] = SQL["chart_table"]
+register("stream_rolling_window", """
+SELECT b AS batch, kind, title, views,
+       CAST(row_number() OVER (PARTITION BY b, kind ORDER BY views DESC, title) AS INTEGER) AS rank
+FROM (SELECT e.b, t.kind, t.title, count(*) AS views
+      FROM ends e JOIN first_pull f ON f.pull <= e.b + 1 JOIN titled t ON t.id = f.id
+      WHERE t.date BETWEEN e.as_of - INTERVAL 1 WEEK AND e.as_of GROUP BY ALL) x""", PULLS + """,
+first_pull AS (SELECT id, min(pull) AS pull FROM pulls GROUP BY id),
+ends AS (SELECT CAST(p - 1 AS INTEGER) AS b, max(m.date) AS as_of
+         FROM range(1, 5) r(p) JOIN first_pull f ON f.pull <= r.p JOIN media_events m ON m.id = f.id GROUP BY p)""")
+USER_BATCHES = FIRST_PULL + """,
+user_batches AS (SELECT DISTINCT f.pull, t.title AS term FROM titled t JOIN first_pull f ON f.id = t.id
+                 WHERE t.user_id = '1' AND t.kind = 'movie'),""" + search_ctes("user_batches", "ub_") + """,
+ub_counts AS (SELECT g.genre, count(*) AS counts FROM user_batches b JOIN ub_resolved r ON r.term = b.term
+              JOIN catalogue_genres g ON g.item_id = r.item_id
+              WHERE r.status IN ('ok', 'unresolved') GROUP BY g.genre),""" + top_tail("ub_", "ub_counts", "Movie")
+register("stream_movie_recommendations", """
+SELECT t.rank, coalesce(r.english_title, t.title) AS title, coalesce(r.genres, '') AS genres, t.hits
+FROM ub_top_titles t LEFT JOIN ub_d_resolved r ON r.term = t.title""", USER_BATCHES)
+SQL["stream_series_recommendations"] = SQL["recommend_series"]
+
+# ---- cases that the other inputs do not reach ---------------------------------------------------
+register("file_number_padding", """
+SELECT pull, CASE WHEN pull < 10 THEN '0' ELSE '' END || CAST(pull AS VARCHAR) AS file_no
+FROM (SELECT DISTINCT id % 1300 AS pull FROM playback_log) p""")
+register("filter_denylist_regex", """
+SELECT id, user_id, name FROM playback WHERE name IS NOT NULL AND NOT regexp_matches(name, 'CCTV5+|HD')""")
+register("time_range_mid_data", f"""
+SELECT id, {TS}, media_name FROM media_events
+WHERE date BETWEEN TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 1 WEEK AND TIMESTAMP '2024-01-20 00:00:00'""")
+register("english_title_by_type", """
+SELECT i.item_id, i.item_type, i.tmdb_id, coalesce(c.title, i.item_title) AS english_title,
+       CASE WHEN c.title IS NULL THEN 'unresolved' ELSE 'ok' END AS status
+FROM typed i LEFT JOIN (
+  SELECT item_type, tmdb_id, arg_min('EN ' || item_type || ' ' || item_title, item_id) AS title
+  FROM typed WHERE item_id % 5 <> 0 GROUP BY ALL) c ON c.item_type = i.item_type AND c.tmdb_id = i.tmdb_id""", """
+typed AS (SELECT item_id, type AS item_type, title AS item_title, CAST(item_id % 500 AS VARCHAR) AS tmdb_id FROM catalogue)""")
+register("search_contains", """
+SELECT t.term AS title, s.item_id, s.item_type, s.item_title, s.tmdb_id
+FROM part_terms t LEFT JOIN search s ON s.term = t.term""", """
+part_terms AS (SELECT DISTINCT substr(lower(p_name), 2, 7) AS term FROM part
+               UNION SELECT substr(lower(p_name), 1, 1) FROM part UNION SELECT '' FROM part),""" + search_ctes("part_terms"))

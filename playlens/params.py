@@ -46,5 +46,7 @@ KIND_MOVIE = "movie"
 
 # Upper bound (rows) for sides we broadcast after checking their size.
 BROADCAST_ROW_LIMIT = 100_000
+# A bounded list of at most so many names is turned into a pushed-down filter.
+FILTER_NAMES = 100
 # Items per envelope document written by the envelope sink.
 ENVELOPE_PAGE_SIZE = 5_000

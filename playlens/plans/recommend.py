@@ -8,8 +8,8 @@ Series: the user's series titles resolved to genre baskets (first-wins
 merge with earlier history), FP-Growth rules mined over the baskets, the
 genres the rules predict counted, then the same tail with catalogue series.
 
-Everything is one lazy DataFrame chain per kind; the only eager step is the
-FP-Growth fit.
+Small decision inputs (search terms, wanted items, the top lists, FP-Growth
+baskets) are materialised on the way; the facts stay in one lazy chain.
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ def resolve_titles(titles: DataFrame, catalogue: DataFrame, cache: DataFrame,
         found = cat.search_exact(titles, catalogue, known_max=known_max)
     else:
         found = cat.search_catalogue(titles, catalogue)
-    return cat.with_genres(cat.english_titles(found, cache), genre_links, known_max)
+    return cat.with_genres(cat.english_titles(found, cache, known_max), genre_links, known_max)
 
 
 def usable(resolved: DataFrame) -> DataFrame:

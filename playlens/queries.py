@@ -20,12 +20,11 @@ from playlens.operators import rules
 from playlens.plans import recommend as rec
 from playlens.plans import statistics as st
 from playlens.operators.barrier import materialize
-from playlens.operators.textjoin import contains_matches
 from playlens.schemas import ENGLISH_TITLES, TITLE_GENRES
 from playlens.session import scratch_path
 from playlens.sources import csvio, envelope
 from playlens.sources import tables as tb
-from playlens.streaming import jobs
+from playlens.streaming import jobs, state
 from playlens.streaming.runner import latest_version, replay_pulls
 
 # ---- fixture parameters (FIXTURES.md §3) --------------------------------------------
@@ -65,6 +64,9 @@ class Views:
     def log(self) -> DataFrame:
         return tb.playback_log(self.t, self.catalogue)
 
+    def log_of(self, user_id: str) -> DataFrame:
+        return tb.playback_log(self.t, self.catalogue, int(user_id))
+
     @property
     def deny(self) -> DataFrame:
         return tb.denylist(self.spark)
@@ -97,8 +99,9 @@ def ts_text(col: str = "date", name: str | None = None):
     return F.date_format(F.col(col), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name or col)
 
 
-def _media(v: Views) -> DataFrame:
-    return ev.media_events(v.log, v.deny, deny_max=len(tb.DENYLIST_PATTERNS))
+def _media(v: Views, user_id: str | None = None) -> DataFrame:
+    log = v.log if user_id is None else v.log_of(user_id)
+    return ev.media_events(log, v.deny, deny_max=len(tb.DENYLIST_PATTERNS))
 
 
 def _titled(v: Views) -> DataFrame:
@@ -147,7 +150,7 @@ def split_movies(spark, sf_dir):
 
 @query
 def user_history(spark, sf_dir):
-    media = _media(Views(spark, sf_dir))
+    media = _media(Views(spark, sf_dir), USER_ID)
     return ev.user_history(media, USER_ID).select("id", ts_text(), "media_name")
 
 
@@ -291,7 +294,7 @@ def genres_exploded(spark, sf_dir):
 
 
 def _user_movies(v: Views) -> DataFrame:
-    titles = rec.user_titles(_media(v), USER_ID, params.KIND_MOVIE)
+    titles = rec.user_titles(_media(v, USER_ID), USER_ID, params.KIND_MOVIE)
     return rec.usable(rec.resolve_titles(titles, v.catalogue, v.english, v.genres))
 
 
@@ -351,7 +354,7 @@ def recommend_details(spark, sf_dir):
 @query
 def recommend_movies(spark, sf_dir):
     v = Views(spark, sf_dir)
-    return rec.recommend_movies(_media(v), v.catalogue, v.english, v.genres, v.genre_lookup, USER_ID)
+    return rec.recommend_movies(_media(v, USER_ID), v.catalogue, v.english, v.genres, v.genre_lookup, USER_ID)
 
 
 # ---- FP-Growth over genre baskets (E1-E4) and the series chain (D6, J7, P4) -----------------
@@ -406,7 +409,7 @@ def predicted_genres(spark, sf_dir):
 
 
 def _user_series_baskets(v: Views) -> DataFrame:
-    titles = rec.user_titles(_media(v), USER_ID, params.KIND_SERIES)
+    titles = rec.user_titles(_media(v, USER_ID), USER_ID, params.KIND_SERIES)
     resolved = rec.resolve_titles(titles, v.catalogue, v.english, v.genres)
     return rec.series_baskets(rec.series_history(resolved))
 
@@ -436,7 +439,7 @@ def titles_by_genre_series(spark, sf_dir):
 @query
 def recommend_series(spark, sf_dir):
     v = Views(spark, sf_dir)
-    return rec.recommend_series(_media(v), v.catalogue, v.english, v.genres, v.genre_lookup, USER_ID)
+    return rec.recommend_series(_media(v, USER_ID), v.catalogue, v.english, v.genres, v.genre_lookup, USER_ID)
 
 
 # ---- sources and sinks (A1-A8, B1-B4, B15, D3, D7, G1-G3, H14-H16) ----------------------------
@@ -557,8 +560,7 @@ def denylist_scan(spark, sf_dir):
     csvio.write_csv(v.deny.select(F.col("pattern").alias("Channel Name")), path)
     deny = csvio.read_denylist(spark, path)
     playback = ev.filter_event_type(v.log)
-    pairs = contains_matches(playback.select("name"), "name", deny, "pattern")
-    return playback.join(pairs, "name").groupBy("pattern").agg(F.count(F.lit(1)).alias("hits"))
+    return ev.denylist_hits(playback, deny).groupBy("pattern").agg(F.count(F.lit(1)).alias("hits"))
 
 
 @query
@@ -594,11 +596,30 @@ def stream_flatten(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
+    return _deduplicated(spark, sf_dir)
+
+
+def _deduplicated(spark, sf_dir, **how) -> DataFrame:
+    v, root, ckpt = _stream_setup(spark, sf_dir)
+    replay_pulls(v.log, root, lambda src: jobs.run_available(
+        jobs.media_stream(spark, src, v.deny), ckpt, process=jobs.DedupJob(root)), **how)
+    return state.read_history(spark, root).select("id", "user_id", "media_name")
+
+
+@query
+def stream_dedup_out_of_order(spark, sf_dir):
+    """The same pulls landed newest first."""
+    return _deduplicated(spark, sf_dir, newest_first=True)
+
+
+@query
+def stream_flatten_multiline(spark, sf_dir):
+    """Files of one pretty-printed document each."""
     v, root, ckpt = _stream_setup(spark, sf_dir)
     sink = f"{root}/media"
     replay_pulls(v.log, root, lambda src: jobs.run_available(
-        jobs.dedup_stream(jobs.media_stream(spark, src, v.deny)).select("id", "user_id", "media_name"),
-        ckpt, sink=sink))
+        jobs.media_stream(spark, src, v.deny, multi_line=True).select("id", "user_id", "media_name"), ckpt, sink=sink),
+        multi_line=True)
     return spark.read.parquet(sink)
 
 
@@ -614,9 +635,9 @@ def stream_rolling_stats(spark, sf_dir):
 
 def _genre_state(spark, sf_dir) -> str:
     v, root, ckpt = _stream_setup(spark, sf_dir)
-    job = jobs.GenreStateJob(root, v.catalogue, v.english, v.genres)
+    job = jobs.GenreStateJob(root, v.catalogue, v.english, v.genres, dedup=True)
     replay_pulls(v.log, root, lambda src: jobs.run_available(
-        jobs.dedup_stream(jobs.media_stream(spark, src, v.deny)), ckpt, process=job))
+        jobs.media_stream(spark, src, v.deny), ckpt, process=job))
     return root
 
 
@@ -633,21 +654,100 @@ def stream_title_genres(spark, sf_dir):
 @query
 def stream_daily_views(spark, sf_dir):
     v, root, ckpt = _stream_setup(spark, sf_dir)
-    changes = f"{root}/daily_views"
-    job = jobs.ChangelogJob(changes)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        jobs.store_batch(jobs.dedup_against_history(batch, root, batch_id), root, batch_id)
+
     replay_pulls(v.log, root, lambda src: jobs.run_available(
-        jobs.daily_views(jobs.media_stream(spark, src, v.deny)), ckpt, process=job,
-        output_mode="update"))
-    day = F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"),
-                                           F.col("window.start").cast("timestamp_ntz")), "yyyy-MM-dd")
-    rows = spark.read.parquet(changes).withColumn("day", day)
-    return jobs.latest_per_key(rows, ["day", "kind", "title"], ["views"])
+        jobs.media_stream(spark, src, v.deny), ckpt, process=store))
+    return state.daily_counts(spark, root).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 @query
-def stream_statistics(spark, sf_dir):
+def stream_rolling_window(spark, sf_dir):
+    """The statistics of every batch, each over the week that ends with the newest event seen by then."""
     v, root, ckpt = _stream_setup(spark, sf_dir)
-    job = jobs.PlaybackBatchJob(root, AS_OF_MONTH, v.catalogue, v.english, v.genres, v.genre_lookup, USER_ID)
+    job = jobs.RollingStatsJob(root, None, "week", dedup=True, retain=40)
     replay_pulls(v.log, root, lambda src: jobs.run_available(
         jobs.media_stream(spark, src, v.deny), ckpt, process=job))
-    return latest_version(spark, root, "stats")
+    return spark.read.parquet(f"{root}/stats").select(F.col("v").cast("int").alias("batch"), "kind", "title", "views", "rank")
+
+
+def _driver_state(spark, sf_dir, **how) -> str:
+    v, root, ckpt = _stream_setup(spark, sf_dir)
+    job = jobs.PlaybackBatchJob(root, AS_OF_MONTH, v.catalogue, v.english, v.genres, v.genre_lookup, USER_ID)
+    replay_pulls(v.log, root, lambda src: jobs.run_available(
+        jobs.media_stream(spark, src, v.deny), ckpt, process=job), **how)
+    return root
+
+
+@query
+def stream_statistics(spark, sf_dir):
+    return latest_version(spark, _driver_state(spark, sf_dir), "stats")
+
+
+@query
+def stream_statistics_backlog(spark, sf_dir):
+    """All overlapping pulls in one trigger, as after a restart."""
+    return latest_version(spark, _driver_state(spark, sf_dir, at_once=True), "stats")
+
+
+@query
+def stream_chart_table(spark, sf_dir):
+    return latest_version(spark, _driver_state(spark, sf_dir), "chart")
+
+
+@query
+def stream_movie_recommendations(spark, sf_dir):
+    return latest_version(spark, _driver_state(spark, sf_dir), "movie_recommendations")
+
+
+@query
+def stream_series_recommendations(spark, sf_dir):
+    return latest_version(spark, _driver_state(spark, sf_dir), "series_recommendations")
+
+
+# ---- cases that the other inputs do not reach -----------------------------------------------
+
+@query
+def file_number_padding(spark, sf_dir):
+    """Padded file numbers of pulls past 99."""
+    from playlens.functions.text import padded_number
+    v = Views(spark, sf_dir)
+    numbers = v.log.select((F.col("id") % 1300).alias("pull")).distinct()
+    return numbers.select("pull", padded_number("pull").alias("file_no"))
+
+
+@query
+def filter_denylist_regex(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return ev.filter_denylist(ev.filter_event_type(v.log), v.deny, mode="regex",
+                              known_max=len(tb.DENYLIST_PATTERNS)).select("id", "user_id", "name")
+
+
+@query
+def time_range_mid_data(spark, sf_dir):
+    """A week that ends inside the data."""
+    return _time_range(spark, sf_dir, AS_OF_PULL, "week")
+
+
+@query
+def english_title_by_type(spark, sf_dir):
+    """Movies and series with colliding ids, and several cache entries per id: the first wins."""
+    v = Views(spark, sf_dir)
+    items = v.catalogue.select("item_id", F.col("type").alias("item_type"), F.col("title").alias("item_title"),
+                               (F.col("item_id") % 500).cast("string").alias("tmdb_id"))
+    cache = items.filter(F.col("item_id") % 5 != 0).select(
+        "item_type", "tmdb_id", F.concat(F.lit("EN "), "item_type", F.lit(" "), "item_title").alias("title"),
+        F.col("item_id").alias("seq"))
+    return cat.english_titles(items, cache).select("item_id", "item_type", "tmdb_id", "english_title", "status")
+
+
+@query
+def search_contains(spark, sf_dir):
+    """Terms that are no titles: parts of every part name, one letter, and the empty term."""
+    v = Views(spark, sf_dir)
+    names = v.t.part.select(F.lower("p_name").alias("n"))
+    terms = (names.select(F.substring("n", 2, 7).alias("title")).unionByName(names.select(F.substring("n", 1, 1).alias("title")))
+             .unionByName(names.select(F.lit("").alias("title")).limit(1)).distinct())
+    found = cat.search_catalogue(terms, v.catalogue)
+    return found.select("title", "item_id", "item_type", "item_title", "tmdb_id")

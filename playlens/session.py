@@ -1,8 +1,9 @@
 """Session and scratch-space helpers.
 
 Written tables (state, checkpoints, sink output) always go under the shared
-folder the cluster names in ``spark.checkpoint.dir``.  Only when the session
-has none (unit tests, a laptop) do we create one under the system temp dir.
+folder the cluster names in ``spark.checkpoint.dir``.  Only when a session
+with a local master has none (unit tests, a laptop) do we create one under the
+system temp dir; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -54,7 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
-        # Unset (tests, local runs): a fresh private folder, never shared.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder all executors share")
+        # Unset on a local master (tests, a laptop): a fresh private folder.
         configured = tempfile.mkdtemp(prefix="playlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -65,12 +68,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     root = ensure_checkpoint_dir(spark)
     leaf = os.path.join(*parts) if parts else "run"
     return f"{root.rstrip('/')}/playlens/{leaf}-{uuid.uuid4().hex[:12]}"
-
-
-def local_dir(path: str) -> str | None:
-    """The local filesystem path behind a ``file:`` URI or bare path, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playlens import params
 from playlens.functions.text import padded_number
@@ -59,14 +60,30 @@ def file_name(number: int, prefix: str = FILE_PREFIX) -> str:
     return f"{prefix}_{str(number).zfill(params.FILE_NUMBER_WIDTH)}"
 
 
-def write_envelopes(envelopes: DataFrame, root: str, number: int, prefix: str = FILE_PREFIX) -> str:
-    """Write one pull's envelopes as JSON Lines under ``root/<prefix>_NN``; returns the path."""
+def write_envelopes(envelopes: DataFrame, root: str, number: int, prefix: str = FILE_PREFIX,
+                    multi_line: bool = False) -> str:
+    """Write one pull's envelopes under ``root/<prefix>_NN``; returns the path.
+
+    JSON Lines by default; ``multi_line`` writes one document per file, over
+    many lines.
+    """
     path = f"{root.rstrip('/')}/{file_name(number, prefix)}"
-    envelopes.select(F.to_json(F.struct("Items", "TotalRecordCount")).alias("value")) \
-        .write.mode("errorifexists").text(path)
+    writer = envelopes.select(F.to_json(F.struct("Items", "TotalRecordCount"), {"pretty": str(multi_line).lower()}).alias(
+        "value")).write.mode("errorifexists")
+    (writer.option("maxRecordsPerFile", 1) if multi_line else writer).text(path)
     return path
 
 
+def unparsable(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Documents under ``path`` that are no envelopes (or arrays of them): ``file, document``."""
+    schema = T.StructType([*LOG_ENVELOPE.fields, T.StructField("_corrupt_record", T.StringType())])
+    docs = spark.read.text(path, wholetext=multi_line).select(
+        F.input_file_name().alias("file"), F.col("value").alias("document")).filter(F.trim("document") != "")
+    one, many = F.from_json("document", schema), F.from_json("document", T.ArrayType(LOG_ENVELOPE))
+    return docs.filter(F.when(F.ltrim("document").startswith("["), many.isNull())
+                       .otherwise(one["_corrupt_record"].isNotNull()))
+
+
 def write_pulls(log_with_pull: DataFrame, root: str, prefix: str = FILE_PREFIX,
                 page_size: int = params.ENVELOPE_PAGE_SIZE) -> list[str]:
     """Write every pull as its own directory, one job each, in pull order.

@@ -115,11 +115,16 @@ def english_titles(t: Tables, cat: DataFrame | None = None) -> DataFrame:
     ).select("tmdb_id", F.concat(F.lit(ENGLISH_PREFIX), F.col("title")).alias("title"))
 
 
-def playback_log(t: Tables, cat: DataFrame | None = None) -> DataFrame:
-    """The activity log as rows ``id, date, user_id, type, name``."""
+def playback_log(t: Tables, cat: DataFrame | None = None, user_id: int | None = None) -> DataFrame:
+    """The activity log as rows ``id, date, user_id, type, name``.
+
+    ``user_id`` keeps one user's rows; the numeric comparison reaches the scan.
+    """
     cat = cat if cat is not None else catalogue(t)
     items = cat.filter(_near_zero("item_id")).select("item_id", "type", "title")
     ev = t.events.select("event_id", "ts", "user_id", "event_type", "value")
+    if user_id is not None:
+        ev = ev.filter(F.col("user_id") == int(user_id))
     eid = F.col("event_id")
     shown = (
         F.when(eid % LIVE_CHANNEL_EVERY == 0, F.lit(LIVE_CHANNEL))

@@ -11,15 +11,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens import params
-from playlens.functions.time import range_start
+from playlens.functions.time import instant, ntz_literal, range_start
 from playlens.operators import aggregates as agg
 from playlens.operators import events as ev
 from playlens.operators.barrier import materialize
 from playlens.plans import recommend as rec
+from playlens.plans import statistics as st
 from playlens.operators.ranking import ordered_position
 from playlens.schemas import TITLE_GENRES
 from playlens.sources.envelope import stream_envelopes
@@ -28,34 +29,38 @@ from playlens.streaming import state
 DEDUP_DELAY = "3 days"      # longer than the pull overlap (2 days)
 COUNTS_SCHEMA = "genre string, counts bigint"
 MARK_SCHEMA = "mark bigint"
+VERSIONED = ("mark", "stats", "chart", "genre_counts", "title_genres", "movie_recommendations", "series_recommendations")
 STATS_SCHEMA = "kind string, title string, views bigint, rank int"
+CHART_SCHEMA = "panel string, panel_title string, position int, label string, views bigint"
 RECS_SCHEMA = "rank int, title string, genres string, hits bigint"
 
 
 def media_stream(spark: SparkSession, source: str, deny: DataFrame,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Envelope files -> media events ``id, date, user_id, type, name, media_name``."""
-    env = stream_envelopes(spark, source, max_files_per_trigger=max_files_per_trigger)
+                 max_files_per_trigger: int | None = None, multi_line: bool = False,
+                 clean_source: str | None = None, archive_dir: str | None = None) -> DataFrame:
+    """Envelope files -> media events ``id, date, user_id, type, name, media_name``.
+
+    ``multi_line`` reads files that hold one document over many lines;
+    ``clean_source`` (``archive`` with ``archive_dir``, or ``delete``) clears
+    files that a committed batch has read.
+    """
+    env = stream_envelopes(spark, source, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger,
+                           clean_source=clean_source, archive_dir=archive_dir)
     return ev.media_events(ev.flatten_log(env), deny)
 
 
 def with_event_time(df: DataFrame) -> DataFrame:
-    """``event_time``: the instant whose UTC wall clock is ``date`` (watermarks need a ``timestamp``).
-
-    The wall clock is first moved from UTC into the session zone, and the cast
-    reads it back in that zone, so the instant does not depend on the session.
-    """
-    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("date"))
-    return df.withColumn("event_time", local.cast("timestamp"))
+    """``event_time``: the instant whose UTC wall clock is ``date`` (watermarks need a ``timestamp``)."""
+    return df.withColumn("event_time", instant("date"))
 
 
 def dedup_stream(media: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
-    """Drop repeated ids across overlapping pulls, with state bounded by a watermark.
+    """J4 with Spark's own state: drop repeated ids, state bounded by a watermark.
 
-    An id is remembered until the watermark (newest event time minus
-    ``delay``) passes its event time; pulls overlap by two days, so every
-    repeat arrives while its first copy is still remembered.  Events older
-    than the watermark are late and dropped (J8).
+    Right for pulls in event-time order only: events older than the watermark
+    (newest event time minus ``delay``) are late and dropped (J8).  The jobs
+    below use :func:`dedup_against_history`, which keeps every id once in any
+    order of pulls.
     """
     return with_event_time(media).withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["id"])
 
@@ -63,27 +68,39 @@ def dedup_stream(media: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-DEDUP_HORIZON_DAYS = 3     # a repeat of an event arrives at most this many days after it
-
-
-def dedup_against_history(batch: DataFrame, root: str,
-                          horizon_days: int = DEDUP_HORIZON_DAYS) -> DataFrame:
-    """Exact micro-batch dedup that stays even when one id has huge numbers of copies.
+def dedup_against_history(batch: DataFrame, root: str, batch_id: int | None = None) -> DataFrame:
+    """Exact micro-batch dedup: every id once, in whatever order or grouping the pulls arrive.
 
     Inside the batch, ``dropDuplicates`` runs as an aggregate with a partial
     phase, so the copies of a hot id collapse in every task before the
     shuffle.  Ids already stored by earlier batches are removed with an
-    anti join against the history, read only for the days a repeat can
-    come from (the batch's first day minus the horizon, partition-pruned).
+    anti join against the history.  A repeat is the same event, so only the
+    days the batch itself spans are read (partition-pruned); undated events
+    are looked up among undated ones.  Rows without an id cannot be repeats
+    and all stay.  ``batch_id`` leaves out what a failed run of the same batch
+    has already stored, so a replay gives the same rows.
     """
     spark = batch.sparkSession
-    local = batch.dropDuplicates(["id"])
-    first_day = local.agg(F.min(F.to_date("date"))).first()[0]   # one scalar
-    if first_day is None:
-        return local
-    since = F.date_sub(F.lit(first_day), horizon_days)
-    seen = state.read_history(spark, root).filter(F.col("day") >= since).select("id")
-    return local.join(seen, "id", "left_anti")
+    named = batch.filter(F.col("id").isNotNull()).dropDuplicates(["id"])
+    span = batch.agg(F.min(F.to_date("date")), F.max(F.to_date("date"))).first()     # two scalars
+    seen = state.read_history(spark, root)
+    if batch_id is not None:
+        seen = seen.filter(F.col("batch_id") < batch_id)
+    days = F.col("day").isNull()
+    if span[0] is not None:
+        days = days | F.col("day").between(F.lit(span[0]), F.lit(span[1]))
+    seen = seen.filter(days).select("id")
+    return named.join(seen, "id", "left_anti").unionByName(batch.filter(F.col("id").isNull()))
+
+
+@dataclass
+class DedupJob:
+    """foreachBatch: the batch's new media events, each id once, into the history."""
+
+    root: str
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        state.append_history(history_rows(dedup_against_history(batch, self.root, batch_id)), self.root, batch_id)
 
 
 def run_available(stream: DataFrame, checkpoint: str, process=None, sink: str | None = None,
@@ -120,10 +137,11 @@ def history_rows(media: DataFrame) -> DataFrame:
 def rolling_statistics(spark: SparkSession, root: str, as_of, time_range: str = "month") -> DataFrame:
     """View statistics over the stored state in the range ending at ``as_of``.
 
-    Whole days come from the daily partial counts, the boundary day from raw
-    history rows; nothing older than the range is read.
+    Whole days come from the daily partial counts, the two boundary days from
+    raw history rows; nothing outside the range is read.
     """
-    counts = state.range_counts(spark, root, range_start(as_of, time_range), ev.with_kind)
+    end = as_of if isinstance(as_of, Column) else ntz_literal(as_of)
+    counts = state.range_counts(spark, root, range_start(as_of, time_range), end, ev.with_kind)
     return ordered_position(counts, ["kind"], [F.col("views").desc(), F.col("title").asc()])
 
 
@@ -138,28 +156,47 @@ def store_batch(media: DataFrame, root: str, batch_id: int) -> None:
     state.append_daily_counts(ev.with_kind(written), root, batch_id)
 
 
+def batch_as_of(as_of, spark: SparkSession, root: str):
+    """The moment a batch's range ends: ``as_of`` itself, its value if it is a
+    function, or (None) the newest event stored so far, so the range moves on."""
+    if callable(as_of):
+        return as_of()
+    if as_of is not None:
+        return as_of
+    return state.read_history(spark, root).agg(F.max("ts")).first()[0]
+
+
 @dataclass
 class RollingStatsJob:
     """foreachBatch: append the batch to history, recompute and store the statistics.
 
-    ``dedup=True`` removes repeated ids inside the job (skew-safe, exact);
-    use it on a stream without :func:`dedup_stream`.
+    ``dedup=True`` removes repeated ids inside the job (skew-safe, exact).
+    ``as_of`` is taken anew in every batch (see :func:`batch_as_of`).
+    ``retain`` drops stored days before the range start less so many days.
     """
 
     root: str
-    as_of: object
+    as_of: object = None
     time_range: str = "month"
     dedup: bool = False
+    retain: int | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch.isEmpty():
-            return              # readers take the newest stats version there is
-        if self.dedup:
-            batch = dedup_against_history(batch, self.root)
-        store_batch(batch, self.root, batch_id)
-        stats = rolling_statistics(spark, self.root, self.as_of, self.time_range)
+        batch = batch.persist()
+        try:
+            if batch.isEmpty():
+                return              # readers take the newest stats version there is
+            fresh = dedup_against_history(batch, self.root, batch_id) if self.dedup else batch
+            store_batch(fresh, self.root, batch_id)
+        finally:
+            batch.unpersist()
+        as_of = batch_as_of(self.as_of, spark, self.root)
+        stats = rolling_statistics(spark, self.root, as_of, self.time_range)
         state.write_version(stats, self.root, "stats", batch_id)
+        if self.retain is not None:
+            start = spark.range(1).select(F.date_sub(F.to_date(range_start(as_of, self.time_range)), self.retain)).first()[0]
+            state.drop_days_before(spark, self.root, start)
 
 
 # ---- J6/J7: cumulative genre counts and first-wins title genres ---------------------------------
@@ -174,6 +211,7 @@ class GenreStateJob:
     cache: DataFrame
     genre_links: DataFrame
     user_id: str | None = None
+    dedup: bool = False
 
     _static_ready: bool = False
 
@@ -191,6 +229,9 @@ class GenreStateJob:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         self._static()
+        if self.dedup:
+            DedupJob(self.root)(batch, batch_id)
+            batch = state.read_history(spark, self.root).filter(F.col("batch_id") == batch_id)
         batch = batch.persist()
         try:
             movies = rec.usable(rec.resolve_titles(self._titles(batch, params.KIND_MOVIE),
@@ -217,11 +258,14 @@ def _schema(ddl: str):
 
 @dataclass
 class PlaybackBatchJob:
-    """The whole per-batch pipeline (P5): high-water filter, statistics, recommendations.
-
-    The high-water mark is state (version ``n-1`` read, ``n`` written) and is
-    read inside the filter as a scalar subquery; the mark is the batch's
-    maximum id, never its first row, and an empty batch keeps the old mark.
+    """The whole per-batch pipeline (P5): new events, statistics with English titles
+    and chart, recommendations.
+
+    New events are those whose id the history does not hold
+    (:func:`dedup_against_history`), so pulls may overlap, arrive late or
+    share a trigger.  ``by_mark=True`` filters by the high-water mark instead.
+    The mark is state (version ``n-1`` read, ``n`` written): the maximum id,
+    never the first row, and an empty batch keeps the old one.
     """
 
     root: str
@@ -232,6 +276,8 @@ class PlaybackBatchJob:
     lookup: DataFrame
     user_id: str = params.DEFAULT_USER
     time_range: str = "month"
+    by_mark: bool = False
+    keep_versions: int = 3
     _static_ready: bool = False
 
     def _static(self) -> None:
@@ -247,7 +293,8 @@ class PlaybackBatchJob:
         spark = batch.sparkSession
         self._static()
         old_mark = state.read_version(spark, self.root, "mark", batch_id - 1, _schema(MARK_SCHEMA))
-        fresh = ev.high_water_filter(batch, old_mark).persist()
+        fresh = (ev.high_water_filter(batch, old_mark) if self.by_mark
+                 else dedup_against_history(batch, self.root, batch_id)).persist()
         try:
             new_mark = fresh.agg(F.max("id").alias("_m")).select(
                 F.greatest(F.col("_m"), old_mark.select(F.max("mark")).scalar()).alias("mark"))
@@ -257,8 +304,13 @@ class PlaybackBatchJob:
                 return
             # statistics (P1 over the rolling history)
             store_batch(fresh, self.root, batch_id)
-            stats = rolling_statistics(spark, self.root, self.as_of, self.time_range)
-            state.write_version(stats, self.root, "stats", batch_id)
+            as_of = batch_as_of(self.as_of, spark, self.root)
+            state.write_version(rolling_statistics(spark, self.root, as_of, self.time_range), self.root, "stats", batch_id)
+            stats = state.read_version(spark, self.root, "stats", batch_id, _schema(STATS_SCHEMA))
+            # English titles and the chart of the same statistics
+            english = st.view_statistics_english(stats, self.catalogue, self.cache)
+            labels = english.select("kind", "title", F.col("english_title").alias("label"))
+            state.write_version(st.chart_table(english, labels), self.root, "chart", batch_id)
             # movie recommendations with running genre counts
             # one catalogue search for the user's titles of both kinds
             titled = ev.with_kind(ev.user_history(fresh, self.user_id)).select("kind", "title").distinct()
@@ -302,6 +354,8 @@ class PlaybackBatchJob:
             state.write_version(series_rec, self.root, "series_recommendations", batch_id)
         finally:
             fresh.unpersist()
+            for name in VERSIONED:
+                state.drop_old_versions(spark, self.root, name, self.keep_versions)
 
     def _copy(self, spark: SparkSession, name: str, schema: str | None, batch_id: int) -> None:
         """Version ``batch_id`` of ``name`` = version ``batch_id - 1`` (empty before the first)."""
@@ -311,7 +365,7 @@ class PlaybackBatchJob:
 
     def _carry(self, spark: SparkSession, batch_id: int) -> None:
         """An empty batch: every state table keeps its previous version."""
-        for name, schema in (("stats", STATS_SCHEMA), ("genre_counts", COUNTS_SCHEMA),
+        for name, schema in (("stats", STATS_SCHEMA), ("chart", CHART_SCHEMA), ("genre_counts", COUNTS_SCHEMA),
                              ("movie_recommendations", RECS_SCHEMA),
                              ("series_recommendations", RECS_SCHEMA), ("title_genres", None)):
             self._copy(spark, name, schema, batch_id)

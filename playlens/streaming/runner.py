@@ -18,26 +18,27 @@ from playlens.streaming import state
 
 
 def replay_pulls(log: DataFrame, root: str, run_once: Callable[[str], None], pulls: int = 4,
-                 overlap: float = 0.1) -> str:
+                 overlap: float = 0.1, newest_first: bool = False, at_once: bool = False,
+                 multi_line: bool = False) -> str:
     """Write ``pulls`` overlapping pulls of ``log`` one by one under ``root/in``,
-    calling ``run_once(source_glob)`` after each; returns the source glob."""
-    env = envelope.pack_envelopes(envelope.assign_pulls(log, pulls, overlap)).persist()
+    calling ``run_once(source_glob)`` after each (``at_once``: after the last only);
+    returns the source glob.  The packed log is written once, partitioned by pull."""
+    packed = f"{root.rstrip('/')}/packed"
+    envelope.pack_envelopes(envelope.assign_pulls(log, pulls, overlap)).write.partitionBy("pull").parquet(packed)
+    env = log.sparkSession.read.parquet(packed)
     source = f"{root.rstrip('/')}/in"
     glob = f"{source}/{envelope.FILE_PREFIX}_*"
-    try:
-        for p in range(1, pulls + 1):
-            envelope.write_envelopes(env.filter(F.col("pull") == p).drop("pull", "page"), source, p)
+    order = range(pulls, 0, -1) if newest_first else range(1, pulls + 1)
+    for n, p in enumerate(order, 1):
+        envelope.write_envelopes(env.filter(F.col("pull") == p).drop("pull", "page"), source, p, multi_line=multi_line)
+        if not at_once or n == pulls:
             run_once(glob)
-    finally:
-        env.unpersist()
     return glob
 
 
 def latest_version(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The newest version of a versioned state table (partition ``v``)."""
-    allv = spark.read.parquet(f"{root.rstrip('/')}/{name}")
-    newest = allv.select(F.max("v")).scalar()
-    return allv.filter(F.col("v") == newest).drop("v")
+    """The newest version of a versioned state table."""
+    return spark.read.parquet(state.version_path(root, name, state.newest_version(spark, root, name)))
 
 
 __all__ = ["replay_pulls", "latest_version", "state"]

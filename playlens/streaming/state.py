@@ -42,10 +42,16 @@ def version_path(root: str, name: str, version: int) -> str:
 
 
 def read_version(spark: SparkSession, root: str, name: str, version: int, schema: StructType) -> DataFrame:
-    """State ``name`` as of ``version``; empty before the first batch."""
+    """State ``name`` as of ``version``; empty only before the first batch.
+
+    Every batch writes a version, so a missing one is lost state and raises:
+    reading it as empty would restart counts and marks without a word.
+    """
     if version < 0:
         return spark.createDataFrame([], schema)
-    return _read_parquet_or_empty(spark, version_path(root, name, version), schema)
+    df = spark.read.schema(schema).parquet(version_path(root, name, version))
+    df.schema
+    return df
 
 
 def write_version(df: DataFrame, root: str, name: str, version: int) -> str:
@@ -99,25 +105,66 @@ def append_daily_counts(titled: DataFrame, root: str, batch_id: int, time_col: s
     (titled.groupBy(F.to_date(time_col).alias("day"), "kind", "title")
      .agg(F.count(F.lit(1)).alias("views"))
      .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-     .repartition("day")          # aggregated rows: one file per day, not per task and day
+     .repartition("day", "title")     # aggregated rows; AQE keeps the files few, no day sits in one task
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("day", "batch_id")
      .parquet(daily_counts_path(root)))
 
 
-def range_counts(spark: SparkSession, root: str, start, titled_history) -> DataFrame:
-    """Views per ``(kind, title)`` with ``ts >= start``.
+def range_counts(spark: SparkSession, root: str, start, end, titled_history) -> DataFrame:
+    """Views per ``(kind, title)`` with ``start <= ts <= end``.
 
-    Days after ``start``'s day come from the daily partial counts; only the
-    boundary day is counted from raw history rows (``titled_history`` maps
-    history rows to ``kind, title``).  Both reads prune by ``day``.
+    Days between the two boundary days come from the daily partial counts;
+    only the boundary days are counted from raw history rows
+    (``titled_history`` maps history rows to ``kind, title``).  Both reads
+    prune by ``day``.
     """
     start_col = start if not isinstance(start, str) else ntz_literal(start)
-    start_day = F.to_date(start_col)
+    end_col = end if not isinstance(end, str) else ntz_literal(end)
+    start_day, end_day = F.to_date(start_col), F.to_date(end_col)
     partial = _read_parquet_or_empty(spark, daily_counts_path(root), StructType.fromDDL(DAILY_DDL))
-    full_days = partial.filter(F.col("day") > start_day).select("kind", "title", "views")
-    edge_rows = read_history(spark, root).filter(F.col("day") == start_day).filter(F.col("ts") >= start_col)
+    full_days = partial.filter((F.col("day") > start_day) & (F.col("day") < end_day)).select("kind", "title", "views")
+    edge_rows = read_history(spark, root).filter((F.col("day") == start_day) | (F.col("day") == end_day)).filter(
+        (F.col("ts") >= start_col) & (F.col("ts") <= end_col))
     edge = titled_history(edge_rows).groupBy("kind", "title").agg(F.count(F.lit(1)).alias("views"))
     return full_days.unionByName(edge).groupBy("kind", "title").agg(
         F.sum("views").cast("bigint").alias("views"))
+
+
+def daily_counts(spark: SparkSession, root: str) -> DataFrame:
+    """All daily partial counts summed: ``day, kind, title, views``."""
+    partial = _read_parquet_or_empty(spark, daily_counts_path(root), StructType.fromDDL(DAILY_DDL))
+    return partial.groupBy("day", "kind", "title").agg(F.sum("views").cast("bigint").alias("views"))
+
+
+# ---- retention --------------------------------------------------------------------------------
+
+def _folder(spark: SparkSession, path: str):
+    """The path's file system and its sub-folders ``name=value`` (metadata only)."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(hadoop) if s.isDirectory()] if fs.exists(hadoop) else []
+    return fs, [(p.getName().partition("=")[2], p) for p in found if "=" in p.getName()]
+
+
+def newest_version(spark: SparkSession, root: str, name: str) -> int | None:
+    """The newest version number of a state table, from the folder names alone."""
+    _, parts = _folder(spark, f"{root.rstrip('/')}/{name}")
+    return max((int(v) for v, _ in parts if v.isdigit()), default=None)
+
+
+def drop_old_versions(spark: SparkSession, root: str, name: str, keep: int = 3) -> None:
+    """Keep the newest ``keep`` versions of a state table (at least two: a replay reads ``n-1``)."""
+    fs, parts = _folder(spark, f"{root.rstrip('/')}/{name}")
+    for _, path in sorted(((int(v), p) for v, p in parts if v.isdigit()), key=lambda x: x[0])[:-max(keep, 2)]:
+        fs.delete(path, True)
+
+
+def drop_days_before(spark: SparkSession, root: str, day) -> None:
+    """Drop stored days before ``day`` from the history and the daily counts."""
+    for path in (history_path(root), daily_counts_path(root)):
+        fs, parts = _folder(spark, path)
+        for value, folder in parts:
+            if value[:4].isdigit() and value < str(day):
+                fs.delete(folder, True)

@@ -50,6 +50,35 @@ def test_denylist_gram_path_matches_broadcast_path(spark, monkeypatch):
     assert small == {i for i in range(200) if i % 5 != 0 and not f"t{i % 13}".startswith("t1")}
 
 
+def test_regex_denylist_in_blocks(spark, monkeypatch):
+    from playlens import params
+    log = spark.createDataFrame([(i, f"user_{i} is playing t{i % 13} on tv") for i in range(100)], "id bigint, name string")
+    deny = spark.createDataFrame([("t1[0-2]? ",), ("user_7",), ("zz+",), ("t5 on",)], "pattern string")
+    small = {r.id for r in ev.filter_denylist(log, deny, mode="regex").collect()}
+    monkeypatch.setattr(params, "BROADCAST_ROW_LIMIT", 1)
+    assert {r.id for r in ev.filter_denylist(log, deny, mode="regex").collect()} == small
+    assert small and all(i % 13 not in (1, 5, 10, 11, 12) and not str(i).startswith("7") for i in small)
+
+
+def test_search_of_empty_and_single_letter_terms(spark):
+    catalogue = spark.createDataFrame([(3, "Movie", "Beta", "1"), (2, "Series", "Alpha", "2"), (9, "Episode", "Z", "3")],
+                                      "item_id bigint, type string, title string, tmdb_id string")
+    terms = spark.createDataFrame([("",), ("b",), ("A",), ("z",)], "title string")
+    got = {r.title: r.item_id for r in cat.search_catalogue(terms, catalogue).collect()}
+    assert got == {"": 2, "b": 3, "A": 2, "z": None}
+
+
+def test_english_titles_by_type_first_entry(spark):
+    found = spark.createDataFrame([(1, "Movie", "Alpha", "550"), (2, "Series", "Beta", "550"), (3, "Movie", "C", None)],
+                                  "item_id bigint, item_type string, item_title string, tmdb_id string")
+    cache = spark.createDataFrame([("Movie", "550", "EN Z", 1), ("Movie", "550", "EN A", 2), ("Series", "550", "EN Beta", 3)],
+                                  "item_type string, tmdb_id string, title string, seq int")
+    got = {r.item_id: (r.english_title, r.status) for r in cat.english_titles(found, cache).collect()}
+    assert got == {1: ("EN Z", "ok"), 2: ("EN Beta", "ok"), 3: (None, "no_tmdb_id")}
+    missing = cat.missing_english(found, cache.filter("item_type = 'Movie'"))
+    assert [r.item_id for r in missing.collect()] == [2]
+
+
 def test_ordered_position_matches_row_number(spark):
     rnd = random.Random(3)
     rows = [(rnd.choice("ab"), f"t{i}", rnd.randint(1, 5)) for i in range(500)]

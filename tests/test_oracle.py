@@ -11,10 +11,10 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_compare import compare, duckdb_connection
+from playlens.oracle import SQL
+from playlens.queries import QUERIES
 
 SF = os.environ.get("PLAYLENS_ORACLE_SF", SF_SMALL)
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +24,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):

@@ -8,9 +8,6 @@ from playlens.queries import Views
 from playlens.operators import events as ev
 from playlens.sources import tables as tb
 
-BATCH = [n for n in entry.queries() if not n.startswith("stream_")]
-
-
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -45,3 +42,27 @@ def test_catalogue_join_side_is_bounded(spark):
     v = Views(spark, SF_SMALL)
     plan = _plan(tb.catalogue(v.t))
     assert "PushedFilters: [IsNotNull(p_partkey), GreaterThanOrEqual(p_partkey,-199), LessThanOrEqual(p_partkey,199)]" in plan
+
+
+def test_user_filter_reaches_the_scan(spark):
+    from playlens.queries import _media
+    plan = _plan(_media(Views(spark, SF_SMALL), "1"))
+    assert "EqualTo(user_id,1)" in plan
+
+
+def test_genre_filter_runs_below_the_distinct(spark):
+    from playlens.operators import catalogue as cat
+    v = Views(spark, SF_SMALL)
+    ids = v.genre_lookup.limit(2)
+    plan = _plan(cat.titles_by_genres(ids, v.genre_lookup, v.genres, v.catalogue, "Movie", known_max=2))
+    assert "PushedFilters: [In(p_type, [" in plan or "EqualTo(p_type" in plan
+
+
+def test_frames_before_the_checkpoints_hold_no_python(spark):
+    from playlens.operators import catalogue as cat
+    v = Views(spark, SF_SMALL)
+    frames = [ev.with_kind(ev.media_events(v.log, v.deny)), v.genres, cat.item_genres(v.genres), cat.english_lookup(v.english)]
+    for df in frames:
+        plan = _plan(df)
+        for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
+            assert node not in plan

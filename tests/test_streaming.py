@@ -3,9 +3,12 @@
 import os
 import tempfile
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from playlens.functions.time import event_time, instant
 from playlens.operators import events as ev
 from playlens.queries import Views
 from playlens.sources import envelope
@@ -76,8 +79,9 @@ def test_batch_driver_state(spark):
     mark = latest_version(spark, root, "mark").first()["mark"]
     assert mark == ev.media_events(v.log, v.deny).agg(F.max("id")).first()[0]
     recs = latest_version(spark, root, "movie_recommendations")
-    assert recs.count() <= 3
-    assert [r["rank"] for r in recs.orderBy("rank").collect()] == list(range(1, recs.count() + 1))
+    assert [r["rank"] for r in recs.orderBy("rank").collect()] == [1, 2, 3]
+    assert state.newest_version(spark, root, "stats") == 3
+    assert sorted(os.listdir(f"{root}/stats")) == ["v=1", "v=2", "v=3"]      # the oldest is dropped
 
 
 def test_envelope_roundtrip_and_numbering(spark):
@@ -100,3 +104,72 @@ def test_batch_dedup_with_a_hot_id(spark):
     jobs.store_batch(fresh, root, 0)
     again = jobs.dedup_against_history(first.filter("id >= 105").repartition(4), root)
     assert again.count() == 0
+
+
+def _media(spark, rows):
+    df = spark.createDataFrame(rows, "id bigint, date string, user_id string, media_name string")
+    return df.withColumn("date", F.col("date").cast("timestamp_ntz"))
+
+
+def test_dedup_with_null_ids_and_dates_in_any_order(spark):
+    root = _root()
+    late = _media(spark, [(5, "2024-01-20 10:00:00", "1", "E"), (6, None, "1", "F"), (None, "2024-01-20 10:00:00", "1", "N")])
+    early = _media(spark, [(1, "2024-01-02 10:00:00", "1", "A"), (5, "2024-01-20 10:00:00", "1", "E"), (6, None, "1", "F"),
+                           (None, "2024-01-02 10:00:00", "1", "N"), (1, "2024-01-02 10:00:00", "1", "A")])
+    job = jobs.DedupJob(root)
+    job(late, 0)
+    job(early, 1)
+    job(early, 1)               # a replay of the same batch adds nothing
+    ids = sorted(str(r.id) for r in state.read_history(spark, root).collect())
+    assert ids == ["1", "5", "6", "None", "None"]
+
+
+def test_a_lost_state_version_raises(spark):
+    root = _root()
+    schema = jobs._schema(jobs.COUNTS_SCHEMA)
+    assert state.read_version(spark, root, "genre_counts", -1, schema).count() == 0
+    with pytest.raises(AnalysisException):
+        state.read_version(spark, root, "genre_counts", 5, schema)
+
+
+def test_window_end_and_retention(spark):
+    root = _root()
+    rows = [(i, f"2024-01-{i:02d} 12:00:00", "1", f"T{i}") for i in range(1, 29)]
+    job = jobs.RollingStatsJob(root, lambda: "2024-01-20 12:00:00", "week", dedup=True, retain=0)
+    job(_media(spark, rows), 0)
+    stats = latest_version(spark, root, "stats")
+    assert sorted(r.title for r in stats.collect()) == sorted(f"T{i}" for i in range(13, 21))
+    assert state.read_history(spark, root).agg(F.min("id")).first()[0] == 13
+
+
+def test_multi_line_documents_archive_and_unparsable(spark):
+    root = _root()
+    src, archive = os.path.join(root, "in"), os.path.join(root, "archive")
+    os.makedirs(src)
+    item = '{"Id": %d,\n "Name": "u is playing T%d on tv",\n "Type": "VideoPlayback",\n "Date": "2024-01-02T10:00:00.0Z"}'
+    for n in range(3):
+        with open(os.path.join(src, f"{n}.json"), "w") as fh:
+            fh.write('{\n"Items": [\n%s\n],\n"TotalRecordCount": 1\n}' % (item % (n, n)))
+    with open(os.path.join(src, "bad.json"), "w") as fh:
+        fh.write("{ no json\n")
+    deny = spark.createDataFrame([("CCTV5+",)], "pattern string")
+    assert [os.path.basename(r.file) for r in envelope.unparsable(spark, src, multi_line=True).collect()] == ["bad.json"]
+    for _ in range(2):          # files of a committed batch are archived when the next one starts
+        jobs.run_available(jobs.media_stream(spark, src, deny, multi_line=True, clean_source="archive", archive_dir=archive)
+                           .select("id", "media_name"), f"{root}/ckpt", sink=f"{root}/out")
+        with open(os.path.join(src, "late.json"), "w") as fh:
+            fh.write('{"Items": [%s], "TotalRecordCount": 1}' % (item % (9, 9)))
+    assert sorted(r.id for r in spark.read.parquet(f"{root}/out").collect()) == [0, 1, 2, 9]
+
+
+def test_event_time_in_the_repeated_autumn_hour(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2024-11-03T08:30:00.1234567Z",), ("2024-11-03T09:30:00Z",), ("garbage",)], "d string")
+        df = df.select(event_time("d").alias("date")).select(
+            "date", F.date_format("date", "HH:mm").alias("t"), F.unix_micros(instant("date")).alias("us"))
+        got = [(r.t, r.us) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == [("08:30", 1730622600123456), ("09:30", 1730626200000000), (None, None)]
