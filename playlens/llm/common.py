@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from playlens.session import scratch_path
 
@@ -26,14 +25,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def clean_keys(docs: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns: other columns, whatever their names, never meet ours."""
-    return docs.select(*[docs[n] for n in names])
+BROADCAST_ROWS = 1_000_000
 
 
-def arrow_type(df_type: T.DataType):
-    from pyspark.sql.pandas.types import to_arrow_type
-    return to_arrow_type(df_type)
+def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, a written table of a few fixed-size columns, with a broadcast hint up to ``limit`` rows.
+
+    Beyond the limit the hint is left off and Spark joins by shuffling.
+    """
+    return F.broadcast(df) if df.count() <= limit else df
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import shingle_sql, written
+from playlens.llm.common import bounded, shingle_sql, written
 from playlens.llm.textblocks import blocks, fmix64
 
 SHINGLE_WORDS = 5
@@ -186,7 +186,7 @@ def contaminated(docs: DataFrame, items: DataFrame, num: int = NUM, den: int = D
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold an item."""
     hits = written(contaminated(docs, items, **options).select(F.col("doc_id").alias("_hit")).distinct(), "hits")
-    return docs.join(hits, docs["doc_id"] == hits["_hit"], "left_anti")
+    return docs.join(bounded(hits), docs["doc_id"] == hits["_hit"], "left_anti")
 
 
 ORACLE_SQL = f"""

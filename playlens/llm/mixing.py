@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playlens.llm.common import WORD, written
+from playlens.llm.common import WORD, bounded, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 TOTAL_SHARE = 1.5
@@ -148,7 +148,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")), "mix")
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))
     if chosen.groupBy("_id").count().filter("count > 1").isEmpty():
-        joined = docs.join(chosen.filter("_copies > 0"), same)
+        chosen = chosen.filter("_copies > 0").select("_id", "_copies")
+        joined = docs.join(bounded(chosen), docs["doc_id"].cast("long").eqNullSafe(chosen["_id"]))
     else:   # repeated ids: rows of equal source and size take the group's copies in turn
         group = ["_id", "_source", "_size"]
         order = Window.partitionBy(*group).orderBy(F.col("_copies").desc())
@@ -159,5 +160,5 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         joined = mine.join(chosen.filter("_copies > 0").withColumnRenamed("_turn", "_t"),
                            same & mine["source"].cast("string").eqNullSafe(F.col("_source"))
                            & (mine["_dsize"] == F.col("_size")) & (mine["_turn"] == F.col("_t")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(
-        *[docs[c] for c in docs.columns])
+    return joined.select(*[docs[c] for c in docs.columns],
+                         F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")).drop("_copy")

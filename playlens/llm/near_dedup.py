@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import connected_components, shingle_sql, written
+from playlens.llm.common import bounded, connected_components, shingle_sql, written
 from playlens.llm.textblocks import blocks, fmix64
 
 SHINGLE_WORDS = 5
@@ -262,8 +262,8 @@ def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
     """
     groups = written(near_duplicate_groups(docs, **options), "groups")
     per_id = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("k"), F.count(F.lit(1)).alias("n"))
-    gone = per_id.filter("not k").select(F.col("doc_id").alias("_gone"))
-    out = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    gone = written(per_id.filter("not k").select(F.col("doc_id").alias("_gone")), "gone")
+    out = docs.join(bounded(gone), docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
     repeated = per_id.filter("k and n > 1").select(F.col("doc_id").alias("_again"))
     if repeated.isEmpty():
         return out

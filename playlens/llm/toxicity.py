@@ -236,6 +236,19 @@ def _gradients(m, vectors, inverse, text, start, length, labels):
     return g, d_vectors, float(np.mean(np.logaddexp(0, np.where(labels > 0, -mean, mean))))
 
 
+def _rare(texts: list[str]) -> dict[str, np.ndarray]:
+    """Word and n-gram buckets that fewer than :data:`MIN_SEEN` training texts use."""
+    seen = {"word": np.zeros(WORD_BUCKETS, np.int64), "char": np.zeros(CHAR_BUCKETS, np.int64)}
+    for text in texts:
+        batch = pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["text"])
+        block = next(blocks(batch, limit=1 << 40))
+        if block.words()[2][-1]:
+            _, word, grams, _ = word_inputs(block)
+            seen["word"][np.unique(word)] += 1
+            seen["char"][np.unique(grams)] += 1
+    return {k: v < MIN_SEEN for k, v in seen.items()}
+
+
 def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> dict[str, np.ndarray] | None:
     """Weights fitted to whole-text labels, or None without both classes."""
     labels = np.asarray(labels, np.float32)
@@ -244,9 +257,12 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> dict[str, np.n
     rng = np.random.default_rng(seed)
     m = new_model(rng)
     m["bias"][0] = -1.0
+    frozen: dict[str, np.ndarray] = {}
     first_moment = {k: np.zeros_like(v) for k, v in m.items()}
     second_moment = {k: np.zeros_like(v) for k, v in m.items()}
-    seen = {"word": np.zeros(WORD_BUCKETS, np.int64), "char": np.zeros(CHAR_BUCKETS, np.int64)}
+    for name, rare in _rare(texts).items():      # buckets hardly seen say nothing
+        m[name][rare] = 0
+        frozen[name] = rare
     groups = [np.flatnonzero(labels == y) for y in (0, 1)]
     per_class = max(len(g) for g in groups)
     step = 0
@@ -261,9 +277,6 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> dict[str, np.n
             if first[-1] == 0:
                 continue
             inverse, word, grams, begin = word_inputs(block)
-            if epoch == 0:
-                np.add.at(seen["word"], word, 1)
-                np.add.at(seen["char"], grams, 1)
             vectors = _vectors(m, word, grams, begin)
             text, start, length = windows_of(first)
             used, text = np.unique(text, return_inverse=True)
@@ -275,12 +288,12 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> dict[str, np.n
             step += 1
             for k, v in m.items():
                 grad = g[k].astype(np.float32)
+                if k in frozen:
+                    grad[frozen[k]] = 0
                 first_moment[k] += 0.1 * (grad - first_moment[k])
                 second_moment[k] += 0.001 * (grad ** 2 - second_moment[k])
                 v -= (RATE * (first_moment[k] / (1 - 0.9 ** step))
                       / (np.sqrt(second_moment[k] / (1 - 0.999 ** step)) + 1e-6)).astype(np.float32)
-    for k, counts in seen.items():      # buckets hardly seen say nothing
-        m[k][counts < MIN_SEEN] = 0
     return m
 
 
