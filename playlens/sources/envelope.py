@@ -46,13 +46,18 @@ def pack_envelopes(log: DataFrame, page_size: int = params.ENVELOPE_PAGE_SIZE) -
 
     A row keeps its ``pull`` column if it has one (else pull 1).  Items are
     sorted by id inside an envelope; a page holds ids ``[page*size, (page+1)*size)``.
+    A page with more rows than that (null or repeated ids) is cut into several envelopes.
     """
     rows = log if "pull" in log.columns else log.withColumn("pull", F.lit(1))
     items = log_items(rows).withColumn("page", F.floor(F.col("item.Id") / page_size))
-    return items.groupBy("pull", "page").agg(
+    full = items.groupBy(F.col("pull").alias("_pull"), F.col("page").alias("_page")).agg(
+        F.ceil(F.count(F.lit(1)) / page_size).alias("_parts")).filter("_parts > 1")
+    same = F.col("pull").eqNullSafe(F.col("_pull")) & F.col("page").eqNullSafe(F.col("_page"))
+    part = F.when(F.col("_parts") > 1, F.pmod(F.monotonically_increasing_id(), F.col("_parts"))).otherwise(0)
+    return items.join(full, same, "left").withColumn("_part", part).groupBy("pull", "page", "_part").agg(
         F.array_sort(F.collect_list("item")).alias("Items"),
         F.count(F.lit(1)).cast("int").alias("TotalRecordCount"),
-    )
+    ).drop("_part")
 
 
 def file_name(number: int, prefix: str = FILE_PREFIX) -> str:

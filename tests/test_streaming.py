@@ -173,3 +173,12 @@ def test_event_time_in_the_repeated_autumn_hour(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert got == [("08:30", 1730622600123456), ("09:30", 1730626200000000), (None, None)]
+
+
+def test_envelopes_of_null_and_repeated_ids_stay_bounded(spark):
+    rows = [(None, f"n{i}") for i in range(25)] + [(7, f"r{i}") for i in range(23)] + [(8, "x")]
+    log = spark.createDataFrame(rows, "id bigint, name string").selectExpr(
+        "id", "timestamp_ntz'2024-01-02 10:00:00' as date", "'1' as user_id", "'VideoPlayback' as type", "name")
+    docs = envelope.pack_envelopes(log, page_size=10).collect()
+    assert max(d.TotalRecordCount for d in docs) < 25 and sum(d.TotalRecordCount for d in docs) == 49
+    assert sorted(i.Name for d in docs for i in d.Items) == sorted(n for _, n in rows)
