@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import written
+from playlens.llm.common import bounded, written
 from playlens.llm.textblocks import Block, fmix64
 
 LENGTH, GRAM = 200, 80
@@ -93,33 +93,40 @@ def _occurrences(length, gram):
             for i, raw in _texts(batch, 1):
                 g, c, lo, n, off = anchors(raw, length, gram)
                 if len(g):
-                    parts.append((g.view(np.int64), c.view(np.int64), np.full(len(g), reps[i]), lo.astype(np.int32),
-                                  n.astype(np.int32), off.astype(np.int32)))
+                    parts.append((g.view(np.int64), c.view(np.int64), np.full(len(g), reps[i]), lo << 16 | n << 8 | off))
                     held += len(g)
                 if held > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)],
-                                                     ["gram", "context", "rep", "lo", "n", "off"])
+                                                     ["gram", "context", "rep", "run"])
                     parts, held = [], 0
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts)],
-                                                 ["gram", "context", "rep", "lo", "n", "off"])
+                                                 ["gram", "context", "rep", "run"])
     return run
 
 
+def _context_batch(rows):
+    kinds = pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
+                                      ["gram", "context", "rep", "lo", "n", "off", "raw"])
+
+
 def _contexts(length):
     """Bytes of the wanted runs of each text."""
     def run(batches):
         for batch in batches:
-            wanted = batch.column(2).to_pylist()
-            rep = batch.column(0).to_pylist()
-            rows = []
+            wanted, reps = batch.column(2), batch.column(0)
+            rows: list[tuple] = []
             for i, raw in _texts(batch, 1):
-                rows += [(w["gram"], w["context"], rep[i], w["lo"], w["n"], w["off"], w["copies"],
-                          raw[w["lo"]:w["lo"] + w["n"] + length - 1]) for w in wanted[i]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in enumerate(
-                    (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()))],
-                ["gram", "context", "rep", "lo", "n", "off", "copies", "raw"])
+                rep = reps[i].as_py()
+                for w in wanted[i].as_py():
+                    lo, n, off = w["run"] >> 16, w["run"] >> 8 & 255, w["run"] & 255
+                    rows.append((w["gram"], w["context"], rep, lo, n, off, raw[lo:lo + n + length - 1]))
+                if len(rows) > 5_000:
+                    yield _context_batch(rows)
+                    rows = []
+            if rows:
+                yield _context_batch(rows)
     return run
 
 
@@ -254,10 +261,10 @@ def _cut(length):
     def run(batches):
         for batch in batches:
             ids, copies = batch.column("doc_id").to_pylist(), batch.column("copied").to_pylist()
-            is_later, spans = batch.column("later_copy").to_pylist(), batch.column("spans").to_pylist()
+            is_later, spans = batch.column("later_copy").to_pylist(), batch.column("spans")
             rows = []
             for i, raw in _texts(batch, 1):
-                found = spans[i] or []
+                found = spans[i].as_py() or []
                 results = []
                 for whole, ranges in ((copies[i], [(s["a"], s["b"]) for s in found if not s["later"]]),
                                       (is_later[i], [(s["a"], s["b"]) for s in found if s["later"]])):
@@ -294,25 +301,29 @@ def remove_duplicate_substrings(docs: DataFrame, length: int = LENGTH, gram: int
         by_key = written(by_key.withColumn("rep", F.xxhash64("key")), "texts")
         texts = rows.withColumn("key", key).join(by_key, "key").select("key", "rep", "text").dropDuplicates(["key"]).drop("key")
     else:
-        texts = rows.join(by_key.select("rep"), rows["doc_id"] == by_key["rep"], "left_semi").select(
-            F.col("doc_id").alias("rep"), "text")
-        texts = texts if by_key.filter("copies > 1").isEmpty() else texts.dropDuplicates(["rep"])
+        # what is left without the later copies: few ids move, the texts do not
+        again = written(own.groupBy("rep").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("rep"), "again")
+        gone = written(keyed.join(by_key.filter("copies > 1").select("key", "rep"), "key").filter("doc_id <> rep")
+                       .select("doc_id").distinct(), "gone")
+        texts = rows.join(bounded(gone), "doc_id", "left_anti").select(F.col("doc_id").alias("rep"), "text")
+        texts = texts if again.isEmpty() else texts.dropDuplicates(["rep"])
     return _finish(rows, key, keyed, by_key, texts, odd, length, gram, hot_classes)
 
 
 def _finish(rows, key, keyed, by_key, texts, odd, length, gram, hot_classes) -> DataFrame:
     occ = written(texts.mapInArrow(_occurrences(length, gram),
-                                   "gram long, context long, rep long, lo int, n int, off int"), "anchors")
+                                   "gram long, context long, rep long, run long"), "anchors")
     common = occ.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("gram")
     shared = written(occ.join(common, "gram", "left_semi"), "shared")
     classes = shared.groupBy("gram", "context").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("rep", "lo", "n", "off")).alias("o"))
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("rep", "run")).alias("o"))
     classes = written(classes.select("gram", "context", "copies", "o.*"), "classes")
     kinds = written(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "kinds")
     several = classes.join(kinds, "gram")
-    wanted = several.groupBy("rep").agg(F.collect_list(F.struct("gram", "context", "lo", "n", "off", "copies")).alias("wanted"))
-    contexts = written(texts.join(wanted, "rep").select("rep", "text", "wanted").mapInArrow(
-        _contexts(length), "gram long, context long, rep long, lo int, n int, off int, copies long, raw binary"), "contexts")
+    wanted = written(several.groupBy("rep").agg(F.collect_list(F.struct("gram", "context", "run")).alias("wanted")), "wanted")
+    able = texts.join(bounded(wanted.select("rep")), "rep", "left_semi")
+    contexts = written(able.join(wanted, "rep").select("rep", "text", "wanted").mapInArrow(
+        _contexts(length), "gram long, context long, rep long, lo long, n int, off int, raw binary"), "contexts")
     sized = contexts.join(kinds, "gram")
     n_blocks = max(1, -(-contexts.count() // CLASSES_PER_BLOCK))
     verdict = (sized.filter(F.col("kinds") <= hot_classes).drop("kinds")
@@ -327,9 +338,11 @@ def _finish(rows, key, keyed, by_key, texts, odd, length, gram, hot_classes) ->
             found.filter("f.rep <> rep or f.at <> at").select("gram", "context", F.lit(True).alias("later"), "a", F.col("a").alias("b")))
         verdict = verdict.unionByName(single)
     verdict = written(verdict.groupBy("gram", "context").agg(F.collect_list(F.struct("later", "a", "b")).alias("v")), "verdict")
-    firsts = classes.select("gram", "context", "copies", F.struct("rep", "lo").alias("f"))
+    firsts = classes.select("gram", "context", "copies", F.struct("rep", F.shiftright("run", 16).alias("lo")).alias("f"))
+    shared = shared.withColumn("lo", F.shiftright("run", 16)).withColumn(
+        "n", F.shiftright("run", 8).bitwiseAND(F.lit(255)))
     judged = shared.join(firsts, ["gram", "context"]).join(verdict, ["gram", "context"], "left")
-    whole = F.struct(F.lit(0).alias("a"), (F.col("n") - 1).alias("b"))
+    whole = F.struct(F.lit(0).alias("a"), (F.col("n") - 1).cast("int").alias("b"))
     not_first = (F.col("f.rep") != F.col("rep")) | (F.col("f.lo") != F.col("lo"))
 
     def place(later: bool):
@@ -350,8 +363,11 @@ def _finish(rows, key, keyed, by_key, texts, odd, length, gram, hot_classes) ->
             "later_copy", (F.col("copies") > 1) & ~F.col("doc_id").eqNullSafe(F.col("first_id")))
     else:
         per_doc = keyed.join(info, "key").filter("copies > 1 or spans is not null").withColumn("later_copy", ~name)
-        per_doc = per_doc.select(F.col("doc_id").alias("_d"), "copies", "spans", "later_copy").dropDuplicates(["_d"])
-        joined = rows.join(per_doc, rows["doc_id"] == per_doc["_d"], "left").drop("_d")
+        per_doc = written(per_doc.select(F.col("doc_id").alias("_d"), "copies", "spans", "later_copy").dropDuplicates(["_d"]), "spans")
+        ids = bounded(per_doc.select("_d"))
+        found = rows.join(ids, rows["doc_id"] == ids["_d"], "left_semi")
+        joined = found.join(per_doc, found["doc_id"] == per_doc["_d"]).drop("_d").unionByName(
+            rows.join(ids, rows["doc_id"] == ids["_d"], "left_anti"), allowMissingColumns=True)
     return joined.select("doc_id", "text", (F.coalesce("copies", F.lit(1)) > 1).alias("copied"),
                          F.coalesce("later_copy", F.lit(False)).alias("later_copy"), "spans").mapInArrow(
         _cut(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
