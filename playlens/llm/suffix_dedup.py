@@ -290,17 +290,16 @@ def remove_duplicate_substrings(docs: DataFrame, length: int = LENGTH, gram: int
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     key = F.md5(F.col("text").cast("binary"))
     keyed = written(rows.select("doc_id", key.alias("key")), "keys")
-    by_key = keyed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
-                                      F.max(F.col("doc_id").isNull()).alias("no_id"))
-    by_key = written(by_key, "texts")
-    # one row per distinct text: its representative's
-    own = keyed.join(by_key, "key").filter(F.col("doc_id").eqNullSafe(F.col("rep")))
-    twice = written(own.groupBy("rep").agg(F.countDistinct("key").alias("n")).filter("n > 1 or rep is null").select("rep"), "odd")
-    odd = not twice.isEmpty()
+    by_key = written(keyed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "texts")
+    # every row counts here, also one whose text is another row's
+    several = keyed.groupBy("doc_id").agg(F.min("key").alias("k"), F.max("key").alias("l")).filter("k <> l or doc_id is null")
+    odd = not written(several.select("doc_id"), "odd").isEmpty()
     if odd:     # ids that stand for several texts, or none: number the texts instead
         by_key = written(by_key.withColumn("rep", F.xxhash64("key")), "texts")
         texts = rows.withColumn("key", key).join(by_key, "key").select("key", "rep", "text").dropDuplicates(["key"]).drop("key")
     else:
+        # one row per distinct text: its representative's
+        own = keyed.join(by_key, "key").filter(F.col("doc_id") == F.col("rep"))
         # what is left without the later copies: few ids move, the texts do not
         again = written(own.groupBy("rep").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("rep"), "again")
         gone = written(keyed.join(by_key.filter("copies > 1").select("key", "rep"), "key").filter("doc_id <> rep")

@@ -72,3 +72,15 @@ def test_previous_factors_against_all_pairs():
     for k, i in enumerate(order):
         assert best[k] == max([common(i, j) for j in range(i)], default=0)
         assert best[k] == 0 or (order[source[k]] < i and common(i, order[source[k]]) == best[k])
+
+
+@pytest.mark.parametrize("odd_rows", ["one id, two texts", "null id, known text"])
+def test_ids_that_do_not_name_one_text(spark, odd_rows):
+    text = ["".join(hashlib.sha512(f"{k}/{i}".encode()).hexdigest() for i in range(5)) for k in range(4)]
+    shared = text[3][:300]
+    rows = [(3, text[0]), (6, text[1] + shared), (7, text[2])]
+    rows += [(5, text[0]), (5, shared + text[2][:150])] if odd_rows == "one id, two texts" else [(None, text[0]), (8, shared)]
+    got = sd.remove_duplicate_substrings(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert result(got) == brute(rows)
+    later = Counter((r["doc_id"], r["n_removed_later"] == r["n_bytes"]) for r in got.collect())
+    assert later[3, False] == 1 and later[5 if odd_rows == "one id, two texts" else None, True] == 1
