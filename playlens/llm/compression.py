@@ -3,9 +3,12 @@
 Repetitive text compresses far below prose of its length, random text hardly
 at all.  A text is rejected when the ratio ``compressed / raw`` of the whole
 text leaves the band of its length class, or when more than
-:data:`BAD_CHUNK_SHARE` of its full :data:`CHUNK_BYTES` chunks leave the chunk
-band.  Short texts have wide bands, since the frame's fixed bytes weigh on
-them, and texts under the first class limit are not judged.
+:data:`BAD_CHUNK_SHARE` of its :data:`CHUNK_BYTES` chunks leave their band: the
+chunk band if full, else (the last one) that of their length class.  Upper limits
+lie between the highest ratio of labelled prose (sf0.1) and the lowest of random
+base64 words of the class.  Under 128 bytes the two overlap and the upper limit
+cannot fire; under 64 bytes nothing is judged, and a shorter last chunk is no chunk.
+Random words of few letters (hex, a-z) compress like short prose and are kept.
 
 Beside the verdict each text gets the plain counts a rule set starts from:
 words, code points in words, symbols, repeated lines, and words inside
@@ -27,9 +30,9 @@ from playlens.llm.textblocks import blocks, fmix64
 LEVEL = 3
 CHUNK_BYTES = 1024
 #: (bytes at least, lowest ratio, highest ratio) of whole texts
-BANDS = ((0, 0.0, float("inf")), (64, 0.25, 1.70), (256, 0.30, 1.00), (1024, 0.28, 0.92),
-         (4096, 0.25, 0.88), (16384, 0.20, 0.85), (65536, 0.15, 0.85))
-CHUNK_BAND = (0.30, 0.92)
+BANDS = ((0, 0.0, float("inf")), (64, 0.25, 1.70), (128, 0.25, 0.94), (192, 0.25, 0.88), (256, 0.30, 0.83), (384, 0.30, 0.79),
+         (512, 0.30, 0.75), (1024, 0.28, 0.67), (4096, 0.25, 0.61), (16384, 0.20, 0.61), (65536, 0.15, 0.61))
+CHUNK_BAND = (0.30, 0.69)
 BAD_CHUNK_SHARE = 0.2
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -71,12 +74,15 @@ def _dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
+def _band(size: int) -> tuple[float, float]:
+    return CHUNK_BAND if size == CHUNK_BYTES else next(b[1:] for b in reversed(BANDS) if size >= b[0])
+
+
 def _measure(batches):
     import zstandard
     packer = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=True)
     symbol = np.zeros(256, dtype=bool)
     symbol[list(SYMBOLS)] = True
-    low, high = CHUNK_BAND
     for batch in batches:
         for block in blocks(batch):
             starts, ends, first = block.words()
@@ -91,10 +97,11 @@ def _measure(batches):
             for i in range(block.n):
                 raw = block.text(i)
                 ratios.append(len(packer.compress(raw)) / len(raw) if raw else None)
-                parts = [len(packer.compress(raw[k:k + CHUNK_BYTES])) / CHUNK_BYTES
-                         for k in range(0, len(raw) - CHUNK_BYTES + 1, CHUNK_BYTES)]
+                parts = [raw[k:k + CHUNK_BYTES] for k in range(0, len(raw), CHUNK_BYTES)]
+                if parts and len(parts[-1]) < BANDS[1][0]:
+                    parts.pop()
                 chunks.append(len(parts))
-                bad.append(sum(not low <= p <= high for p in parts))
+                bad.append(sum(not low <= len(packer.compress(p)) / len(p) <= high for p in parts for low, high in [_band(len(p))]))
                 dups.append(_dup_lines(raw))
             yield pa.RecordBatch.from_arrays([
                 pc.cast(batch.column(0).slice(block.lo, block.n), pa.int64()),

@@ -55,6 +55,28 @@ def test_compression_verdicts(spark):
     assert [r["kept"] for r in cp.compression_report(nothing(spark)).collect()] == [False] * 3
 
 
+def test_compression_rejects_random_text_of_every_length(spark):
+    import random
+    rng = random.Random(3)
+    base64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    ascii_ = "".join(map(chr, range(33, 127)))
+
+    def noise(alphabet, n):
+        return " ".join("".join(rng.choices(alphabet, k=8)) for _ in range(n // 9 + 1))[:n]
+    sizes = (128, 191, 192, 255, 256, 383, 384, 511, 512, 700, 1023, 1024, 2000, 4095, 4096, 6000, 16384, 30000, 65536, 90000)
+    rows = [(i, noise(a, n)) for i, (n, a) in enumerate((n, a) for n in sizes for a in (base64, ascii_))]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    prose = [r["text"] for r in docs.join(labels, "doc_id").filter("quality = 1").orderBy("doc_id").collect()]
+    whole = next(t[:3072] for t in prose if len(t) >= 3072 and t[:3072].isascii())
+    rows += [(1000, whole), (1001, whole + noise(ascii_, 700)), (1002, whole + " " * 10)]
+    rows += [(2000 + i, t) for i, t in enumerate(prose)]
+    got = {r["doc_id"]: r for r in cp.compression_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [d for d in got if d < 1000 and got[d]["in_band"]] == []
+    assert [(got[d]["n_chunks"], got[d]["n_bad_chunks"], got[d]["in_band"]) for d in (1000, 1001, 1002)] == [(3, 0, True), (4, 1, False), (3, 0, True)]
+    assert all(r["in_band"] for d, r in got.items() if d >= 2000)
+
+
 def contained(docs, items, num=80, den=100):
     def sh(t):
         w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in WORD.findall(t or "")]
