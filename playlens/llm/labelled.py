@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,7 +13,7 @@ def fold(doc_id: Column, folds: int) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int,
                   per_class: int, max_words: int | None = None) -> DataFrame:
-    """(doc_id, label, text): at most ``per_class`` documents of each class outside the held-out fold.
+    """(doc_id, label, text): at most ``per_class`` documents of each class outside the held-out fold, of at most ``max_words`` words each.
 
     The documents with the smallest id hashes are taken, so the sample does not
     depend on partitions.  Labels other than 0 and 1 and unlabelled rows are
@@ -24,10 +24,14 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, he
             .filter(fold(F.col("doc_id"), folds) != held_out)
             .groupBy("doc_id").agg(F.max("label").alias("label"))
             .withColumn("_h", F.xxhash64("doc_id")))
-    order = Window.partitionBy("label").orderBy("_h", "doc_id")
-    chosen = rows.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_class).select("doc_id", "label", "_h")
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
+    if max_words is not None:       # before the cap, so that long texts do not use it up
+        texts = texts.filter(F.size(F.split("text", r"[\x20\x09-\x0D]+")) <= max_words)
+        rows = rows.join(texts.select("doc_id"), "doc_id", "left_semi")
+    # a top-k per class: each task keeps its smallest, and only these are merged
+    chosen = None
+    for value in (0, 1):
+        some = rows.filter(F.col("label") == value).orderBy("_h", "doc_id").limit(per_class)
+        chosen = some if chosen is None else chosen.unionByName(some)
     out = texts.join(F.broadcast(chosen), "doc_id")     # at most 2 * per_class rows
-    if max_words is not None:
-        out = out.filter(F.size(F.split("text", r"[\x20\x09-\x0D]+")) <= max_words)
     return out.groupBy("doc_id").agg(F.first("label").alias("label"), F.min("text").alias("text"), F.first("_h").alias("_h"))

@@ -133,6 +133,18 @@ def labelled(spark, n=400):
     return spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, LABEL)
 
 
+def test_training_sample_is_full_where_long_texts_abound(spark):
+    from playlens.llm.labelled import training_rows
+    rows = [(i, "a b c" if i % 4 == 0 else "a b c d e f") for i in range(200)] + [(0, "a b c"), (4, "a b c d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 8 // 4, i % 8 // 4) for i in range(0, 200)], LABEL)
+    got = training_rows(docs, labels, "toxic", 5, 0, 10, 3).collect()
+    assert sorted(r["label"] for r in got) == [0] * 10 + [1] * 10
+    assert all(r["doc_id"] % 4 == 0 and r["text"] == "a b c" for r in got)
+    plan = training_rows(docs, labels, "toxic", 5, 0, 2000)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("TakeOrderedAndProject") >= 2
+
+
 def test_toxicity_held_out(spark):
     docs, labels = labelled(spark)
     got = tx.toxicity_scores(docs, labels).collect()
