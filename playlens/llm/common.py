@@ -36,6 +36,24 @@ def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+SPREAD_BROADCAST = 100_000
+HOT_ROWS = 100_000
+
+
+def join_spread(rows: DataFrame, table: DataFrame, key: str, n: str = "n", limit: int = SPREAD_BROADCAST, hot: int = HOT_ROWS) -> DataFrame:
+    """``rows`` left joined with ``table``: one row of fixed size per key, with the number ``n`` of rows that hold it.
+
+    Up to ``limit`` keys are broadcast.  Beyond, only keys held by ``hot`` rows or more
+    are (at most one for every ``hot`` rows), and the rest, none of them
+    frequent, join by a shuffle.  ``rows`` and ``table`` are read several times: written tables.
+    """
+    if table.count() <= limit:
+        return rows.join(F.broadcast(table), key, "left")
+    frequent = bounded(table.filter(F.col(n) >= hot))
+    rest = rows.join(frequent.select(key), key, "left_anti").join(table.filter(F.col(n) < hot), key, "left")
+    return rows.join(frequent, key).unionByName(rest)
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable, for every node with an edge.
 
