@@ -326,6 +326,66 @@ register("recommend_series", """
 SELECT t.rank, coalesce(r.english_title, t.title) AS title, coalesce(r.genres, '') AS genres, t.hits
 FROM s_top_titles t LEFT JOIN s_d_resolved r ON r.term = t.title""", SERIES)
 
+# ---- recommendations for all users ------------------------------------------------------------
+def tail_all(p: str, item_type: str) -> str:
+    """From ``{p}counts(user_id, genre, counts)`` to ``{p}out``: every user's top-3 titles with details."""
+    return f"""
+{p}top3 AS (
+  SELECT user_id, genre FROM {p}counts
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY counts DESC, genre) <= 3
+),
+{p}hits AS (
+  SELECT t.user_id, c.title, count(*) AS hits
+  FROM {p}top3 t JOIN genre_lookup k ON k.name = t.genre JOIN catalogue_genres g ON g.genre = t.genre
+  JOIN catalogue c ON c.item_id = g.item_id AND c.type = '{item_type}'
+  GROUP BY t.user_id, c.title
+),
+{p}best AS (
+  SELECT user_id, title, hits, CAST(row_number() OVER (PARTITION BY user_id ORDER BY hits DESC, title) AS INTEGER) AS rank
+  FROM {p}hits QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY hits DESC, title) <= 3
+),
+{p}best_terms AS (SELECT DISTINCT title AS term FROM {p}best),""" + search_ctes(f"{p}best_terms", f"{p}d_") + f""",
+{p}out AS (
+  SELECT b.user_id, b.rank, coalesce(r.english_title, b.title) AS title, coalesce(r.genres, '') AS genres, b.hits
+  FROM {p}best b LEFT JOIN {p}d_resolved r ON r.term = b.title
+)"""
+
+
+register("recommend_movies_all_users", "SELECT * FROM ma_out", """
+ma_titles AS (SELECT DISTINCT user_id, title AS term FROM titled WHERE kind = 'movie'),""" + search_ctes("ma_titles", "ma_") + """,
+ma_counts AS (
+  SELECT t.user_id, g.genre, count(*) AS counts
+  FROM ma_titles t JOIN ma_resolved r ON r.term = t.term AND r.status IN ('ok', 'unresolved')
+  JOIN catalogue_genres g ON g.item_id = r.item_id GROUP BY ALL
+),""" + tail_all("ma_", "Movie"))
+register("recommend_series_all_users", "SELECT * FROM sa_out", GENRE_BITS + """
+sa_titles AS (SELECT DISTINCT user_id, title AS term FROM titled WHERE kind = 'series'),""" + search_ctes("sa_titles", "sa_") + """,
+sa_hist AS (
+  SELECT t.user_id, r.english_title, min(r.genres) AS genres
+  FROM sa_titles t JOIN sa_resolved r ON r.term = t.term AND r.status IN ('ok', 'unresolved') GROUP BY ALL
+),
+sa_baskets AS (
+  SELECT h.user_id, h.english_title, bit_or(1 << g.bit) AS s
+  FROM sa_hist h, unnest(string_split(h.genres, ', ')) AS x(genre) JOIN genre_bits g ON g.name = x.genre GROUP BY ALL
+),
+sa_n AS (SELECT user_id, count(*) AS n FROM sa_baskets GROUP BY user_id),
+sa_masks AS (SELECT unnest(range(1, (SELECT (1 << count(*)) FROM genre_bits))) AS m),
+sa_freq AS (
+  SELECT b.user_id, k.m, count(*) AS freq FROM sa_masks k JOIN sa_baskets b ON (b.s & k.m) = k.m JOIN sa_n n ON n.user_id = b.user_id
+  GROUP BY b.user_id, k.m, n.n HAVING count(*) >= ceil(0.1 * n.n)
+),
+sa_rules AS (
+  SELECT f.user_id, a.m AS ante, g.bit AS cbit, g.name AS consequent
+  FROM sa_freq f JOIN genre_bits g ON (f.m >> g.bit) & 1 = 1
+  JOIN sa_freq a ON a.user_id = f.user_id AND a.m = (f.m & ~(1 << g.bit))
+  WHERE CAST(f.freq AS DOUBLE) / a.freq >= 0.2
+),
+sa_pred AS (
+  SELECT DISTINCT b.user_id, b.english_title, r.consequent
+  FROM sa_baskets b JOIN sa_rules r ON r.user_id = b.user_id AND (b.s & r.ante) = r.ante AND ((b.s >> r.cbit) & 1) = 0
+),
+sa_counts AS (SELECT user_id, consequent AS genre, count(*) AS counts FROM sa_pred GROUP BY ALL),""" + tail_all("sa_", "Series"))
+
 # ---- sources and sinks ------------------------------------------------------------------------
 PULLS = """
 bounds AS (SELECT min(id) AS lo, max(id) AS hi FROM playback_log),

@@ -18,6 +18,7 @@ from playlens.operators import catalogue as cat
 from playlens.operators import events as ev
 from playlens.operators import rules
 from playlens.plans import recommend as rec
+from playlens.plans import recommend_all as rec_all
 from playlens.plans import statistics as st
 from playlens.operators.barrier import materialize
 from playlens.schemas import ENGLISH_TITLES, TITLE_GENRES
@@ -442,6 +443,20 @@ def recommend_series(spark, sf_dir):
     return rec.recommend_series(_media(v, USER_ID), v.catalogue, v.english, v.genres, v.genre_lookup, USER_ID)
 
 
+# ---- recommendations for all users (P3, P4) ---------------------------------------------------
+
+@query
+def recommend_movies_all_users(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return rec_all.recommend_movies_all(_media(v), v.catalogue, v.english, v.genres, v.genre_lookup)
+
+
+@query
+def recommend_series_all_users(spark, sf_dir):
+    v = Views(spark, sf_dir)
+    return rec_all.recommend_series_all(_media(v), v.catalogue, v.english, v.genres, v.genre_lookup)
+
+
 # ---- sources and sinks (A1-A8, B1-B4, B15, D3, D7, G1-G3, H14-H16) ----------------------------
 
 def _scratch(spark, name: str) -> str:
