@@ -470,6 +470,26 @@ register("stream_daily_views", """
 SELECT strftime(date, '%Y-%m-%d') AS day, kind, title, count(*) AS views
 FROM titled GROUP BY 1, 2, 3""")
 
+register("stream_daily_views_watermarked", """
+SELECT strftime(t.date, '%Y-%m-%d') AS day, t.kind, t.title, count(*) AS views
+FROM titled t JOIN (SELECT DISTINCT p.id FROM landed p JOIN media_events m ON m.id = p.id
+                    WHERE p.mark IS NULL OR date_trunc('day', m.date) + INTERVAL 1 DAY > p.mark) k ON k.id = t.id
+WHERE date_trunc('day', t.date) + INTERVAL 1 DAY <= (SELECT max(date) - INTERVAL 3 DAY FROM media_events)
+GROUP BY 1, 2, 3""", PULLS + """,
+place AS (SELECT id, CASE pull WHEN 3 THEN 4 WHEN 4 THEN 3 ELSE pull END AS place FROM pulls),
+landed AS (SELECT p.id, (SELECT max(m.date) - INTERVAL 3 DAY FROM media_events m JOIN place q ON q.id = m.id AND q.place < s.place) AS mark
+           FROM place p JOIN (SELECT DISTINCT place FROM place) s ON s.place = p.place)""")
+register("stream_reject_counts", """
+SELECT batch, reason, count(*) AS rejects FROM (
+  SELECT DISTINCT CAST(pull - 1 AS INTEGER) AS batch, 'document' AS reason, CAST(floor(id / 5000) AS BIGINT) AS what FROM pulls WHERE floor(id / 5000) % 3 = 0
+  UNION ALL
+  SELECT CAST(pull - 1 AS INTEGER), 'date', id FROM pulls WHERE floor(id / 5000) % 5 = 0) x
+GROUP BY batch, reason""", PULLS)
+register("title_cache_append_typed", """
+SELECT item_type, tmdb_id, min(title) AS title, batch FROM (
+  SELECT item_type, tmdb_id, title, batch, min(batch) OVER (PARTITION BY item_type, tmdb_id) AS first FROM (
+    SELECT type AS item_type, CAST(item_id % 500 AS VARCHAR) AS tmdb_id, title, CAST(item_id % 3 AS INTEGER) AS batch FROM catalogue) i) x
+WHERE batch = first GROUP BY ALL""")
 register("stream_dedup_out_of_order", "SELECT id, user_id, media_name FROM media_events")
 register("stream_flatten_multiline", """
 SELECT m.id, m.user_id, m.media_name FROM media_events m JOIN pulls p ON p.id = m.id""", PULLS)

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from playlens import params
 from playlens.functions.time import ntz_literal, pull_start_date
@@ -459,6 +460,10 @@ def recommend_series_all_users(spark, sf_dir):
 
 # ---- sources and sinks (A1-A8, B1-B4, B15, D3, D7, G1-G3, H14-H16) ----------------------------
 
+def _schema(ddl: str) -> StructType:
+    return StructType.fromDDL(ddl)
+
+
 def _scratch(spark, name: str) -> str:
     return scratch_path(spark, name)
 
@@ -592,6 +597,18 @@ def title_cache_append(spark, sf_dir):
     return csvio.read_csv(spark, path, ENGLISH_TITLES)
 
 
+@query
+def title_cache_append_typed(spark, sf_dir):
+    """Answers to misses, by item type and id, appended in three batches of which the second runs twice."""
+    v = Views(spark, sf_dir)
+    path = _scratch(spark, "typed_titles")
+    schema = _schema("item_type string, tmdb_id string, title string")
+    items = v.catalogue.select(F.col("type").alias("item_type"), (F.col("item_id") % 500).cast("string").alias("tmdb_id"), "title", "item_id")
+    for batch in (0, 1, 1, 2):
+        csvio.append_once(items.filter(F.col("item_id") % 3 <= batch).select(*schema.names), ["item_type", "tmdb_id"], path, batch, schema)
+    return csvio.read_appended(spark, path, schema).select(*schema.names, F.col("batch_id").cast("int").alias("batch"))
+
+
 # ---- streaming (J1-J8, P5) ------------------------------------------------------------------------
 
 def _stream_setup(spark, sf_dir):
@@ -648,22 +665,28 @@ def stream_rolling_stats(spark, sf_dir):
     return latest_version(spark, root, "stats")
 
 
-def _genre_state(spark, sf_dir) -> str:
+def _genre_state(spark, sf_dir, totals: bool = False) -> str:
     v, root, ckpt = _stream_setup(spark, sf_dir)
     job = jobs.GenreStateJob(root, v.catalogue, v.english, v.genres, dedup=True)
-    replay_pulls(v.log, root, lambda src: jobs.run_available(
-        jobs.media_stream(spark, src, v.deny), ckpt, process=job))
+
+    def run(src: str) -> None:
+        jobs.run_available(jobs.media_stream(spark, src, v.deny), ckpt, process=job)
+        if totals:
+            jobs.run_genre_totals(spark, root)
+
+    replay_pulls(v.log, root, run)
     return root
 
 
 @query
 def stream_genre_counts(spark, sf_dir):
-    return latest_version(spark, _genre_state(spark, sf_dir), "genre_counts")
+    """Running counts in Spark's state store; every pull is a restart of both streams."""
+    return jobs.genre_totals(spark, _genre_state(spark, sf_dir, totals=True))
 
 
 @query
 def stream_title_genres(spark, sf_dir):
-    return latest_version(spark, _genre_state(spark, sf_dir), "title_genres")
+    return state.read_first_wins(spark, _genre_state(spark, sf_dir), "title_genres", TITLE_GENRES).drop("bucket")
 
 
 @query
@@ -677,6 +700,35 @@ def stream_daily_views(spark, sf_dir):
     return state.daily_counts(spark, root).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
+@query
+def stream_daily_views_watermarked(spark, sf_dir):
+    """Days closed by the watermark; the third pull lands last, and its old events are late."""
+    v, root, ckpt = _stream_setup(spark, sf_dir)
+    sink = f"{root}/daily"
+    replay_pulls(v.log, root, lambda src: jobs.run_available(
+        jobs.daily_views(jobs.media_stream(spark, src, v.deny)), ckpt, sink=sink, no_data_batches=True, rocksdb=True),
+        order=[1, 2, 4, 3])
+    return spark.read.schema("day string, kind string, title string, views bigint").parquet(sink)
+
+
+def spoiled_documents(env: DataFrame, source: str, pull: int) -> None:
+    """Beside a pull's envelopes: every third page cut off in the middle, and every fifth with unreadable dates."""
+    text = F.to_json(F.struct("Items", "TotalRecordCount"))
+    cut = env.filter(F.col("page") % 3 == 0).select(F.substring(text, 1, 60).alias("value"))
+    dated = env.filter(F.col("page") % 5 == 0).withColumn("Items", F.transform("Items", lambda i: i.withField("Date", F.concat(F.lit("on "), i["Date"]))))
+    cut.unionByName(dated.select(text.alias("value"))).write.mode("append").text(f"{source}/{envelope.file_name(pull)}")
+
+
+@query
+def stream_reject_counts(spark, sf_dir):
+    """Cut documents and unreadable dates, counted per batch."""
+    v, root, ckpt = _stream_setup(spark, sf_dir)
+    job = jobs.DeadLetterJob(root, v.deny, jobs.DedupJob(root))
+    replay_pulls(v.log, root, lambda src: jobs.run_available(
+        jobs.observed_envelopes(spark, src), ckpt, process=job), after_write=spoiled_documents)
+    return jobs.reject_counts(spark, root)
+
+
 @query
 def stream_rolling_window(spark, sf_dir):
     """The statistics of every batch, each over the week that ends with the newest event seen by then."""

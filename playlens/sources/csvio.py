@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from playlens.schemas import DENYLIST_CSV
 
@@ -55,3 +55,22 @@ def append_new(cache: DataFrame, new_rows: DataFrame, key: str, path: str) -> Da
     fresh = new_rows.join(cache.select(key), key, "left_anti").dropDuplicates([key])
     write_csv(fresh, path, mode="append")
     return fresh
+
+
+def append_once(new_rows: DataFrame, keys: list[str], path: str, batch_id: int, schema: StructType) -> None:
+    """Append rows whose ``keys`` no earlier batch has stored, each key once.
+
+    A batch has a folder of its own under ``path`` (``batch_id=n``), which a replay
+    overwrites, so running a batch again adds nothing.  Of several new rows of
+    a key the smallest stays, so a replay keeps the same one.
+    """
+    spark = new_rows.sparkSession
+    held = read_appended(spark, path, schema).filter(F.col("batch_id") < batch_id).select(*keys)
+    values = [c for c in new_rows.columns if c not in keys]
+    one = new_rows.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_v")).select(*keys, "_v.*")
+    write_csv(one.join(held, keys, "left_anti").select(*schema.names), f"{path.rstrip('/')}/batch_id={batch_id}")
+
+
+def read_appended(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of all batches with their ``batch_id``; empty before the first."""
+    return read_or_empty(spark, path, StructType([*schema.fields, StructField("batch_id", LongType())]))

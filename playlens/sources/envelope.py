@@ -22,6 +22,7 @@ from playlens.schemas import LOG_ENVELOPE
 
 DATE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSS'Z'"
 FILE_PREFIX = "activity"
+CORRUPT = "_corrupt_record"
 
 
 def log_items(log: DataFrame) -> DataFrame:
@@ -113,13 +114,15 @@ def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) ->
 
 def stream_envelopes(spark: SparkSession, path: str, multi_line: bool = False,
                      max_files_per_trigger: int | None = None,
-                     clean_source: str | None = None, archive_dir: str | None = None) -> DataFrame:
+                     clean_source: str | None = None, archive_dir: str | None = None, corrupt: bool = False) -> DataFrame:
     """Streaming read of envelope files appearing under ``path`` (A1).
 
     ``clean_source`` may be ``"archive"`` (with ``archive_dir``) or
-    ``"delete"`` to drop files once a batch has committed them.
+    ``"delete"`` to drop files once a batch has committed them.  ``corrupt``
+    adds the column :data:`CORRUPT`: the text of a document that does not parse.
     """
-    reader = spark.readStream.schema(LOG_ENVELOPE).option("multiLine", multi_line)
+    schema = T.StructType([*LOG_ENVELOPE.fields, T.StructField(CORRUPT, T.StringType())]) if corrupt else LOG_ENVELOPE
+    reader = spark.readStream.schema(schema).option("multiLine", multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if clean_source:

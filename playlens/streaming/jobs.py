@@ -9,6 +9,8 @@ batch id, so a replayed micro-batch rewrites instead of double counting.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,13 +25,13 @@ from playlens.plans import recommend as rec
 from playlens.plans import statistics as st
 from playlens.operators.ranking import ordered_position
 from playlens.schemas import TITLE_GENRES
-from playlens.sources.envelope import stream_envelopes
+from playlens.sources.envelope import CORRUPT, stream_envelopes
 from playlens.streaming import state
 
 DEDUP_DELAY = "3 days"      # longer than the pull overlap (2 days)
 COUNTS_SCHEMA = "genre string, counts bigint"
 MARK_SCHEMA = "mark bigint"
-VERSIONED = ("mark", "stats", "chart", "genre_counts", "title_genres", "movie_recommendations", "series_recommendations")
+VERSIONED = ("mark", "stats", "chart", "genre_counts", "movie_recommendations", "series_recommendations")
 STATS_SCHEMA = "kind string, title string, views bigint, rank int"
 CHART_SCHEMA = "panel string, panel_title string, position int, label string, views bigint"
 RECS_SCHEMA = "rank int, title string, genres string, hits bigint"
@@ -65,6 +67,8 @@ def dedup_stream(media: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
     return with_event_time(media).withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["id"])
 
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
@@ -104,16 +108,22 @@ class DedupJob:
 
 
 def run_available(stream: DataFrame, checkpoint: str, process=None, sink: str | None = None,
-                  output_mode: str = "append", sink_format: str = "parquet") -> None:
+                  output_mode: str = "append", sink_format: str = "parquet", no_data_batches: bool = False,
+                  rocksdb: bool = False) -> list[dict]:
     """Process everything available now, then stop: ``foreachBatch(process)`` or a file sink.
 
-    Batches without data (run only to move the watermark) are switched off:
-    state eviction then happens with the next data batch, and the batch jobs
-    never recompute their outputs for an empty input.
+    Batches without data (run only to move the watermark) are switched off
+    unless asked for: state eviction then happens with the next data batch, and the batch jobs
+    never recompute their outputs for an empty input.  ``rocksdb`` keeps the
+    operators' state in RocksDB instead of on the heap.  Returns each batch's
+    progress (its last 100), with the metrics set by ``observe`` and the rows dropped as late.
     """
     spark = stream.sparkSession
     previous = spark.conf.get(NO_DATA_BATCHES, "true")
-    spark.conf.set(NO_DATA_BATCHES, "false")
+    provider = spark.conf.get(STATE_PROVIDER, None)
+    spark.conf.set(NO_DATA_BATCHES, str(no_data_batches).lower())
+    if rocksdb:
+        spark.conf.set(STATE_PROVIDER, ROCKSDB)
     try:
         writer = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
         if process is not None:
@@ -123,9 +133,17 @@ def run_available(stream: DataFrame, checkpoint: str, process=None, sink: str |
         query = writer.trigger(availableNow=True).start()
     finally:
         spark.conf.set(NO_DATA_BATCHES, previous)
+        if rocksdb:
+            spark.conf.unset(STATE_PROVIDER) if provider is None else spark.conf.set(STATE_PROVIDER, provider)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    return [json.loads(p.json) for p in query.recentProgress]
+
+
+def late_rows(progress: list[dict]) -> int:
+    """Rows that arrived behind the watermark of their batch, as counted by the first stateful operator."""
+    return sum(p["stateOperators"][-1]["numRowsDroppedByWatermark"] for p in progress if p.get("stateOperators"))
 
 
 # ---- J3/J5: rolling statistics ------------------------------------------------------------------
@@ -163,7 +181,12 @@ def batch_as_of(as_of, spark: SparkSession, root: str):
         return as_of()
     if as_of is not None:
         return as_of
-    return state.read_history(spark, root).agg(F.max("ts")).first()[0]
+    return state.newest_event(spark, root)
+
+
+def retained_from(spark: SparkSession, as_of, time_range: str, retain: int):
+    """The first day kept: the start of the range that ends at ``as_of``, less ``retain`` days."""
+    return spark.range(1).select(F.date_sub(F.to_date(range_start(as_of, time_range)), retain)).first()[0]
 
 
 @dataclass
@@ -195,15 +218,39 @@ class RollingStatsJob:
         stats = rolling_statistics(spark, self.root, as_of, self.time_range)
         state.write_version(stats, self.root, "stats", batch_id)
         if self.retain is not None:
-            start = spark.range(1).select(F.date_sub(F.to_date(range_start(as_of, self.time_range)), self.retain)).first()[0]
-            state.drop_days_before(spark, self.root, start)
+            state.drop_days_before(spark, self.root, retained_from(spark, as_of, self.time_range, self.retain))
 
 
 # ---- J6/J7: cumulative genre counts and first-wins title genres ---------------------------------
 
+GENRE_VOTES = "genre_votes"
+
+
+def run_genre_totals(spark: SparkSession, root: str) -> None:
+    """The votes of all batches summed per genre in Spark's own state (RocksDB), update mode.
+
+    The stream reads each batch's votes file once; its checkpoint carries the
+    state over restarts, and :func:`genre_totals` reads it back.
+    """
+    votes = spark.readStream.schema(COUNTS_SCHEMA).parquet(f"{state.votes_path(root, GENRE_VOTES)}/*")
+    run_available(votes.groupBy("genre").agg(F.sum("counts").alias("counts")), totals_checkpoint(root),
+                  output_mode="update", sink_format="noop", rocksdb=True)
+
+
+def totals_checkpoint(root: str) -> str:
+    return f"{root.rstrip('/')}/genre_totals"
+
+
+def genre_totals(spark: SparkSession, root: str) -> DataFrame:
+    """``genre, counts`` as the state store holds them now."""
+    stored = spark.read.format("statestore").load(totals_checkpoint(root))
+    value = stored.schema["value"].dataType.names[0]
+    return stored.select(F.col("key.genre").alias("genre"), F.col("value").getField(value).alias("counts"))
+
+
 @dataclass
 class GenreStateJob:
-    """foreachBatch: per batch, movie genre counts merged into the running counts
+    """foreachBatch: per batch, genre votes of its movies for the running counts
     and series title -> genres upserted first-wins (J7)."""
 
     root: str
@@ -222,31 +269,20 @@ class GenreStateJob:
             self.genre_links = materialize(self.genre_links)
             self._static_ready = True
 
-    def _titles(self, batch: DataFrame, kind: str) -> DataFrame:
-        rows = batch if self.user_id is None else ev.user_history(batch, self.user_id)
-        return ev.with_kind(rows).filter(F.col("kind") == kind).select("title").distinct()
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         self._static()
         if self.dedup:
             DedupJob(self.root)(batch, batch_id)
             batch = state.read_history(spark, self.root).filter(F.col("batch_id") == batch_id)
-        batch = batch.persist()
-        try:
-            movies = rec.usable(rec.resolve_titles(self._titles(batch, params.KIND_MOVIE),
-                                                   self.catalogue, self.cache, self.genre_links))
-            old_counts = state.read_version(spark, self.root, "genre_counts", batch_id - 1,
-                                            _schema(COUNTS_SCHEMA))
-            counts = agg.merge_counts(old_counts, rec.genre_counts(movies))
-            state.write_version(counts, self.root, "genre_counts", batch_id)
-
-            series = rec.resolve_titles(self._titles(batch, params.KIND_SERIES),
-                                        self.catalogue, self.cache, self.genre_links)
-            old_titles = state.read_version(spark, self.root, "title_genres", batch_id - 1, TITLE_GENRES)
-            state.write_version(rec.series_history(series, old_titles), self.root, "title_genres", batch_id)
-        finally:
-            batch.unpersist()
+        rows = batch if self.user_id is None else ev.user_history(batch, self.user_id)
+        # one catalogue search for the titles of both kinds
+        titled = materialize(ev.with_kind(rows).select("kind", "title").distinct())
+        resolved = materialize(rec.resolve_titles(titled.select("title"), self.catalogue, self.cache, self.genre_links).join(titled, "title"))
+        movies = rec.usable(resolved.filter(F.col("kind") == params.KIND_MOVIE))
+        state.write_votes(rec.genre_counts(movies), self.root, GENRE_VOTES, batch_id)
+        series = resolved.filter(F.col("kind") == params.KIND_SERIES)
+        state.append_first_wins(rec.series_history(series), self.root, "title_genres", "Title", batch_id)
 
 
 def _schema(ddl: str):
@@ -266,6 +302,10 @@ class PlaybackBatchJob:
     share a trigger.  ``by_mark=True`` filters by the high-water mark instead.
     The mark is state (version ``n-1`` read, ``n`` written): the maximum id,
     never the first row, and an empty batch keeps the old one.
+
+    ``retain`` drops stored days before the range start less so many days;
+    ``close_after`` rewrites days as one file set each when they are so many
+    days older than the newest event (:func:`state.compact_days`).
     """
 
     root: str
@@ -278,6 +318,8 @@ class PlaybackBatchJob:
     time_range: str = "month"
     by_mark: bool = False
     keep_versions: int = 3
+    retain: int | None = None
+    close_after: int | None = None
     _static_ready: bool = False
 
     def _static(self) -> None:
@@ -293,8 +335,9 @@ class PlaybackBatchJob:
         spark = batch.sparkSession
         self._static()
         old_mark = state.read_version(spark, self.root, "mark", batch_id - 1, _schema(MARK_SCHEMA))
-        fresh = (ev.high_water_filter(batch, old_mark) if self.by_mark
-                 else dedup_against_history(batch, self.root, batch_id)).persist()
+        # A checkpoint, not a cache: Spark drops a cached plan that reads the history once the history is written.
+        fresh = materialize(ev.high_water_filter(batch, old_mark) if self.by_mark
+                            else dedup_against_history(batch, self.root, batch_id))
         try:
             new_mark = fresh.agg(F.max("id").alias("_m")).select(
                 F.greatest(F.col("_m"), old_mark.select(F.max("mark")).scalar()).alias("mark"))
@@ -307,6 +350,7 @@ class PlaybackBatchJob:
             as_of = batch_as_of(self.as_of, spark, self.root)
             state.write_version(rolling_statistics(spark, self.root, as_of, self.time_range), self.root, "stats", batch_id)
             stats = state.read_version(spark, self.root, "stats", batch_id, _schema(STATS_SCHEMA))
+            self._tidy(spark, as_of, batch_id)
             # English titles and the chart of the same statistics
             english = st.view_statistics_english(stats, self.catalogue, self.cache)
             labels = english.select("kind", "title", F.col("english_title").alias("label"))
@@ -337,12 +381,10 @@ class PlaybackBatchJob:
             series = resolved.filter(F.col("kind") == params.KIND_SERIES)
             if rec.usable(series).isEmpty():
                 # no new series title: the history, its rules and the picks are unchanged
-                self._copy(spark, "title_genres", None, batch_id)
                 self._copy(spark, "series_recommendations", RECS_SCHEMA, batch_id)
                 return
-            old_titles = state.read_version(spark, self.root, "title_genres", batch_id - 1, TITLE_GENRES)
-            state.write_version(rec.series_history(series, old_titles), self.root, "title_genres", batch_id)
-            titles = state.read_version(spark, self.root, "title_genres", batch_id, TITLE_GENRES)
+            state.append_first_wins(rec.series_history(series), self.root, "title_genres", "Title", batch_id)
+            titles = state.read_first_wins(spark, self.root, "title_genres", TITLE_GENRES, before=batch_id + 1)
             baskets = rec.series_baskets(titles)
             if baskets.filter(F.col("basket").isNotNull()).isEmpty():
                 series_rec = spark.createDataFrame([], RECS_SCHEMA)
@@ -353,45 +395,105 @@ class PlaybackBatchJob:
                                                    self.genre_links)
             state.write_version(series_rec, self.root, "series_recommendations", batch_id)
         finally:
-            fresh.unpersist()
             for name in VERSIONED:
                 state.drop_old_versions(spark, self.root, name, self.keep_versions)
 
-    def _copy(self, spark: SparkSession, name: str, schema: str | None, batch_id: int) -> None:
+    def _tidy(self, spark: SparkSession, as_of, batch_id: int) -> None:
+        """Closed days become one file set each, days before the range go; batch ``batch_id`` itself stays open for a replay."""
+        if self.close_after is not None and (newest := state.newest_event(spark, self.root)) is not None:
+            state.compact_days(spark, self.root, (newest - dt.timedelta(days=self.close_after)).date(), batch_id - 1)
+        if self.retain is not None:
+            state.drop_days_before(spark, self.root, retained_from(spark, as_of, self.time_range, self.retain))
+
+    def _copy(self, spark: SparkSession, name: str, schema: str, batch_id: int) -> None:
         """Version ``batch_id`` of ``name`` = version ``batch_id - 1`` (empty before the first)."""
-        struct = TITLE_GENRES if schema is None else _schema(schema)
-        prev = state.read_version(spark, self.root, name, batch_id - 1, struct)
+        prev = state.read_version(spark, self.root, name, batch_id - 1, _schema(schema))
         state.write_version(prev, self.root, name, batch_id)
 
     def _carry(self, spark: SparkSession, batch_id: int) -> None:
         """An empty batch: every state table keeps its previous version."""
         for name, schema in (("stats", STATS_SCHEMA), ("chart", CHART_SCHEMA), ("genre_counts", COUNTS_SCHEMA),
-                             ("movie_recommendations", RECS_SCHEMA),
-                             ("series_recommendations", RECS_SCHEMA), ("title_genres", None)):
+                             ("movie_recommendations", RECS_SCHEMA), ("series_recommendations", RECS_SCHEMA)):
             self._copy(spark, name, schema, batch_id)
 
 
 # ---- J8: daily views, watermarked tumbling window ---------------------------------------------
 
 def daily_views(media: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
-    """Views per day and title; a day's counts stop changing once the watermark passes it."""
-    titled = ev.with_kind(dedup_stream(media, delay))
-    return titled.groupBy(F.window("event_time", "1 day"), "kind", "title").agg(
-        F.count(F.lit(1)).alias("views"))
+    """Views per day and title, each id once: ``day, kind, title, views`` of days that have closed.
+
+    Two stateful aggregates in one append-mode query.  The first keeps one row
+    per id and day; as an aggregate it has a partial phase, so the copies of a
+    hot id collapse in every task before they reach the state.  The second
+    counts a day's ids.  A day is final, and its state gone, once the watermark
+    (the newest event less ``delay``) has passed its end; events behind it are late.
+    """
+    titled = ev.with_kind(with_event_time(media).withWatermark("event_time", delay))
+    ids = titled.groupBy(F.window("event_time", "1 day"), "id", "kind", "title").agg(F.count(F.lit(1)).alias("copies"))
+    views = ids.groupBy("window", "kind", "title").agg(F.count(F.lit(1)).alias("views"))
+    day = F.date_format(F.timestamp_add("MICROSECOND", F.unix_micros("window.start"), ntz_literal("1970-01-01 00:00:00")), "yyyy-MM-dd")
+    return views.select(day.alias("day"), "kind", "title", "views")
+
+
+# ---- dead letters: what the stream cannot read (A1, H15) ------------------------------------------
+
+DEAD_LETTERS = "batch_id bigint, reason string, id bigint, payload string"
+REASON_DOCUMENT, REASON_DATE = "document", "date"
+
+
+def dead_letters(envelopes: DataFrame) -> DataFrame:
+    """``reason, id, payload`` of documents that are no envelopes and items whose date does not parse.
+
+    ``envelopes`` carries the corrupt-record column (``stream_envelopes(corrupt=True)``).
+    """
+    documents = envelopes.filter(F.col(CORRUPT).isNotNull()).select(
+        F.lit(REASON_DOCUMENT).alias("reason"), F.lit(None).cast("bigint").alias("id"), F.col(CORRUPT).alias("payload"))
+    dates = ev.rejected_rows(ev.flatten_log(envelopes, keep_raw_date=True)).select(
+        F.lit(REASON_DATE).alias("reason"), "id", F.col("date_raw").alias("payload"))
+    return documents.unionByName(dates)
+
+
+def observed_envelopes(spark: SparkSession, source: str, name: str = "rejects", **options) -> DataFrame:
+    """The envelope stream with its corrupt documents, counted in the stream by ``observe``.
+
+    Each batch's progress holds, under ``name``: documents, corrupt documents,
+    items and items with a malformed date.
+    """
+    env = stream_envelopes(spark, source, corrupt=True, **options)
+    items = F.coalesce(F.size("Items"), F.lit(0))
+    bad = F.coalesce(F.size(F.filter("Items", lambda i: i["Date"].isNotNull() & F.try_to_timestamp(i["Date"]).isNull())), F.lit(0))
+    return env.observe(name, F.count(F.lit(1)).alias("documents"), F.count(CORRUPT).alias("corrupt_documents"),
+                       F.sum(items).alias("items"), F.sum(bad).alias("malformed_dates"))
 
 
 @dataclass
-class ChangelogJob:
-    """foreachBatch for update-mode aggregates: each batch's changed rows go to their
-    own ``batch_id`` partition (rewritten on replay); the latest row per key wins."""
+class DeadLetterJob:
+    """foreachBatch over envelopes: rejected documents and items go to a table, the rest to ``then``.
 
-    path: str
+    Each batch overwrites its own partition, so a replay stores them once.  ``then``
+    gets the batch's cleaned media events.
+    """
+
+    root: str
+    deny: DataFrame | None = None
+    then: object = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.path))
+        batch = batch.persist()
+        try:
+            (dead_letters(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(dead_letter_path(self.root)))
+            if self.then is not None:
+                self.then(ev.media_events(ev.flatten_log(batch), self.deny), batch_id)
+        finally:
+            batch.unpersist()
+
+
+def dead_letter_path(root: str) -> str:
+    return f"{root.rstrip('/')}/dead_letters"
 
 
-def latest_per_key(changelog: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    return agg.keep_first(changelog, keys, F.negative(F.col("batch_id")), values)
+def reject_counts(spark: SparkSession, root: str) -> DataFrame:
+    """``batch, reason, rejects``: what each batch rejected."""
+    rows = spark.read.schema(DEAD_LETTERS).parquet(dead_letter_path(root))
+    return rows.groupBy(F.col("batch_id").cast("int").alias("batch"), "reason").agg(F.count(F.lit(1)).alias("rejects"))

@@ -19,18 +19,22 @@ from playlens.streaming import state
 
 def replay_pulls(log: DataFrame, root: str, run_once: Callable[[str], None], pulls: int = 4,
                  overlap: float = 0.1, newest_first: bool = False, at_once: bool = False,
-                 multi_line: bool = False) -> str:
+                 multi_line: bool = False, order: list[int] | None = None, after_write: Callable[[DataFrame, str, int], None] | None = None) -> str:
     """Write ``pulls`` overlapping pulls of ``log`` one by one under ``root/in``,
     calling ``run_once(source_glob)`` after each (``at_once``: after the last only);
-    returns the source glob.  The packed log is written once, partitioned by pull."""
+    returns the source glob.  ``order`` lands the pulls in another order;
+    ``after_write(envelopes, source, pull)`` may add files to a pull.  The packed
+    log is written once, partitioned by pull."""
     packed = f"{root.rstrip('/')}/packed"
     envelope.pack_envelopes(envelope.assign_pulls(log, pulls, overlap)).write.partitionBy("pull").parquet(packed)
     env = log.sparkSession.read.parquet(packed)
     source = f"{root.rstrip('/')}/in"
     glob = f"{source}/{envelope.FILE_PREFIX}_*"
-    order = range(pulls, 0, -1) if newest_first else range(1, pulls + 1)
+    order = order or (range(pulls, 0, -1) if newest_first else range(1, pulls + 1))
     for n, p in enumerate(order, 1):
         envelope.write_envelopes(env.filter(F.col("pull") == p).drop("pull", "page"), source, p, multi_line=multi_line)
+        if after_write is not None:
+            after_write(env.filter(F.col("pull") == p), source, p)
         if not at_once or n == pulls:
             run_once(glob)
     return glob
