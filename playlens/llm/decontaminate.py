@@ -14,11 +14,15 @@ shingle by shingle.  Every candidate is verified exactly on full shingle sets.
 
 Documents are only read, never shuffled.  The items are the query set: they
 reach the tasks in blocks of about :data:`ITEM_SHINGLES` shingles, one pass
-over the documents per block, so their size is bounded whatever the benchmark.
+over the documents per block.  With several blocks each pass is written before
+the next block is read, so the driver holds one block (and no item is larger
+than what one task can hold).
 
 Items of fewer than five words (null or empty ones too) have no shingle and
-match nothing, as do such documents.  Repeated documents and items give their
-rows again.  Other columns are ignored.
+match nothing, as do such documents.  A document without ``doc_id`` gives its
+rows with a null id.  Repeated documents and items give their rows again.  Very
+long texts are read whole.  Empty tables give no rows (``clean_documents``: an empty
+benchmark keeps all).  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import bounded, shingle_sql, written
+from playlens.llm.common import shingle_sql, written
 from playlens.llm.textblocks import blocks, fmix64
 
 SHINGLE_WORDS = 5
@@ -139,54 +143,89 @@ def _candidates(probe: Probe, values: np.ndarray, first: np.ndarray) -> np.ndarr
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
 
 
+def _hits(probe: Probe, block, shingle_words: int, num: int, den: int):
+    """(text, item, shared) of every text of a block that holds an item, verified on full sets."""
+    values, first = block.shingles(shingle_words, False)
+    if not len(values):
+        return
+    known, known_text = {}, -1
+    for text, item in _candidates(probe, values, first):
+        if text != known_text:
+            known, known_text = np.unique(values[first[text]:first[text + 1]]), text
+        own = probe.sets[item]
+        place = np.searchsorted(known, own)
+        place[place == len(known)] = 0
+        shared = int((known[place] == own).sum())
+        if den * shared >= num * len(own):
+            yield text, item, shared
+
+
 def _search(probe: Probe, shingle_words: int, num: int, den: int):
     def run(batches):
         for batch in batches:
             ids = pc.cast(batch.column(0), pa.int64()).to_pylist()
-            rows = []
-            for block in blocks(batch):
-                values, first = block.shingles(shingle_words, False)
-                if not len(values):
-                    continue
-                known, known_text = {}, -1
-                for text, item in _candidates(probe, values, first):
-                    if text != known_text:
-                        known, known_text = np.unique(values[first[text]:first[text + 1]]), text
-                    own = probe.sets[item]
-                    place = np.searchsorted(known, own)
-                    place[place == len(known)] = 0
-                    shared = int((known[place] == own).sum())
-                    if den * shared >= num * len(own):
-                        rows.append((ids[block.lo + text], probe.ids[item], len(own), shared))
+            rows = [(ids[block.lo + text], probe.ids[item], len(probe.sets[item]), shared)
+                    for block in blocks(batch) for text, item, shared in _hits(probe, block, shingle_words, num, den)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[c] for r in rows], pa.int64()) for c in range(4)],
                 ["doc_id", "item_id", "n_shingles", "n_shared"])
     return run
 
 
-def contaminated(docs: DataFrame, items: DataFrame, num: int = NUM, den: int = DEN,
-                 shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, item_id, n_shingles, n_shared, containment) of every document that holds an item."""
-    spark = docs.sparkSession
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
+def _without(probe: Probe, shingle_words: int, num: int, den: int):
+    """The rows of each batch, all columns, that hold no item."""
+    def run(batches):
+        for batch in batches:
+            keep = np.ones(batch.num_rows, dtype=bool)
+            for block in blocks(batch):
+                for text, _, _ in _hits(probe, block, shingle_words, num, den):
+                    keep[block.lo + text] = False
+            yield batch.filter(pa.array(keep))
+    return run
+
+
+def _probes(items: DataFrame, shingle_words: int):
+    """(number of blocks, one Probe per block of items); a block is read when the one before is done with."""
     sets = written(items.select(items["item_id"].cast("long").alias("item_id"), items["text"])
                    .mapInArrow(_item_sets(shingle_words), "item_id long, n long, shingles binary").filter("n > 0"), "items")
     total = sets.agg(F.sum("n")).first()[0] or 0
-    n_blocks = max(1, -(-total // ITEM_SHINGLES))
-    sets = sets.withColumn("_b", F.pmod(F.xxhash64("item_id", "shingles"), F.lit(n_blocks)))
-    out = spark.createDataFrame([], SCHEMA)
-    for b in range(n_blocks if total else 0):
+    n_blocks = -(-total // ITEM_SHINGLES)
+    sets = sets.withColumn("_b", F.pmod(F.xxhash64("item_id", "shingles"), F.lit(max(n_blocks, 1))))
+
+    def read(b: int) -> Probe:
         block = sets.filter(F.col("_b") == b).select("item_id", "shingles").orderBy("item_id").collect()
-        probe = Probe([r["item_id"] for r in block], [np.frombuffer(r["shingles"], np.uint64) for r in block])
+        return Probe([r["item_id"] for r in block], [np.frombuffer(r["shingles"], np.uint64) for r in block])
+    return n_blocks, (read(b) for b in range(n_blocks))
+
+
+def contaminated(docs: DataFrame, items: DataFrame, num: int = NUM, den: int = DEN,
+                 shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, item_id, n_shingles, n_shared, containment) of every document that holds an item."""
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
+    n_blocks, probes = _probes(items, shingle_words)
+    out = None
+    for probe in probes:
         hits = rows.mapInArrow(_search(probe, shingle_words, num, den), SCHEMA)
-        out = hits if b == 0 else out.unionByName(hits)
+        if n_blocks > 1:        # written before the next block is read
+            hits = written(hits, "hits")
+        out = hits if out is None else out.unionByName(hits)
+    if out is None:
+        out = docs.sparkSession.createDataFrame([], SCHEMA)
     return out.withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
 
 
-def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold an item."""
-    hits = written(contaminated(docs, items, **options).select(F.col("doc_id").alias("_hit")).distinct(), "hits")
-    return docs.join(bounded(hits), docs["doc_id"] == hits["_hit"], "left_anti")
+def clean_documents(docs: DataFrame, items: DataFrame, num: int = NUM, den: int = DEN, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no item.
+
+    Each row is judged by its own text in the map that verifies it: null and
+    shared ids take no other row along, and nothing is joined.
+    """
+    n_blocks, probes = _probes(items, shingle_words)
+    for probe in probes:
+        docs = docs.mapInArrow(_without(probe, shingle_words, num, den), docs.schema)
+        if n_blocks > 1:
+            docs = written(docs, "clean")
+    return docs
 
 
 ORACLE_SQL = f"""

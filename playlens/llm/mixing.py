@@ -16,7 +16,8 @@ round in hash order; a cell is cut into parts of about :data:`PART_DOCS`
 documents, so no task holds a source or a size.
 
 Null or wordless texts have size 0 and rate 1.  A null source is a source of
-its own, after all others.  Repeated rows of one document share its copies
+its own, after all others.  Very long texts count by their words.  An empty table
+gives no rows.  Repeated rows of one document share its copies
 evenly.  Other columns are ignored.  Reruns give the same copies.
 """
 
@@ -143,22 +144,21 @@ def mix_documents(docs: DataFrame, weights=WEIGHTS, share: float = TOTAL_SHARE,
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs``, all columns, each row as often as the mix takes it (not at all, or up to the cap)."""
-    chosen = written(mix_documents(docs, **options).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("copies").alias("_copies")), "mix")
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))
-    if chosen.groupBy("_id").count().filter("count > 1").isEmpty():
-        chosen = chosen.filter("_copies > 0").select("_id", "_copies")
-        joined = docs.join(bounded(chosen), docs["doc_id"].cast("long").eqNullSafe(chosen["_id"]))
+    """``docs``, all columns, each row as often as the mix takes it (not at all, or up to the cap).
+
+    The row travels as one struct, so its column names, whatever they are, meet none of the names used here.
+    """
+    chosen = written(mix_documents(docs, **options).select("doc_id", "source", "size", "copies"), "mix")
+    rows = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("id"),
+        docs["source"].cast("string").alias("of"), F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long").alias("words"),
+        F.xxhash64(docs["text"]).alias("hash"))
+    if chosen.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        taken = bounded(chosen.filter("copies > 0").select("doc_id", "copies"))
+        joined = rows.select("row", "id").join(taken, F.col("id").eqNullSafe(F.col("doc_id")))
     else:   # repeated ids: rows of equal source and size take the group's copies in turn
-        group = ["_id", "_source", "_size"]
-        order = Window.partitionBy(*group).orderBy(F.col("_copies").desc())
-        chosen = chosen.withColumn("_turn", F.row_number().over(order))
-        size = F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long")
-        mine = docs.withColumn("_dsize", size).withColumn("_turn", F.row_number().over(
-            Window.partitionBy("doc_id", "source", "_dsize").orderBy(F.xxhash64("text"))))
-        joined = mine.join(chosen.filter("_copies > 0").withColumnRenamed("_turn", "_t"),
-                           same & mine["source"].cast("string").eqNullSafe(F.col("_source"))
-                           & (mine["_dsize"] == F.col("_size")) & (mine["_turn"] == F.col("_t")))
-    return joined.select(*[docs[c] for c in docs.columns],
-                         F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")).drop("_copy")
+        chosen = chosen.withColumn("turn", F.row_number().over(Window.partitionBy("doc_id", "source", "size").orderBy(F.col("copies").desc())))
+        rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("id", "of", "words").orderBy("hash")))
+        joined = rows.join(chosen.filter("copies > 0"), F.col("id").eqNullSafe(F.col("doc_id")) & F.col("of").eqNullSafe(F.col("source"))
+                           & (F.col("words") == F.col("size")) & (F.col("place") == F.col("turn")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("row.*")
