@@ -13,7 +13,8 @@
    the posterior probability that its similarity reaches the threshold falls
    below ``miss``.  Survivors are verified on the full sets, strongest first,
    and a pair already joined by verified links is skipped.  A cell returns at
-   most one link per member.
+   most one link per member.  A cluster of ``m`` different texts has about
+   ``(m / 512)**2 / 2`` cells; copies cost none.
 4. Connected components of the verified links, spread back over the copies.
 
 A pair at similarity ``t`` shares no band with probability
@@ -23,7 +24,8 @@ probability ``miss`` per batch at most.
 Nulls and texts without words give an empty set: a group of their own, linked
 with nothing.  A null ``doc_id`` cannot be linked or grouped: such a row keeps
 a null component and is not kept.  Repeated rows of one ``doc_id`` all come
-back, each judged by its own text.  Other columns are ignored.
+back, each judged by its own text.  Very long texts are hashed whole.  An empty table
+gives no rows.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -222,14 +224,17 @@ def _cells(num: int, den: int, bands: int, rows: int):
 
 def near_duplicate_groups(docs: DataFrame, num: int = 85, den: int = 100, shingle_words: int = SHINGLE_WORDS,
                           bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, n_links_group) of documents linked at similarity >= num/den."""
+    """(doc_id, n_shingles, component_id, kept) of documents linked at similarity >= num/den."""
     base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     sets = written(base.mapInArrow(_set_rows(shingle_words, bands * rows),
                                    "doc_id long, n_shingles long, set_hi long, set_lo long, sig binary"), "sets")
     key = ["n_shingles", "set_hi", "set_lo"]
     full = sets.filter("n_shingles > 0 and doc_id is not null")
     ids = full.groupBy(*key).agg(F.min("doc_id").alias("rep"))
-    reps = written(full.join(ids, key).filter("doc_id = rep").dropDuplicates(key).select("rep", *key, "sig"), "reps")
+    # one row of each representative, with the number of rows that repeat it
+    reps = written(full.join(ids, key).filter("doc_id = rep").groupBy("rep", *key).agg(F.first("sig").alias("sig"), F.count(F.lit(1)).alias("rows")), "reps")
+    repeated = not reps.filter("rows > 1").isEmpty()
+    reps = reps.drop("rows")
     buckets = reps.select("rep", "sig").mapInArrow(_bands(bands, rows), "rep long, band long")
     least = buckets.groupBy("band").agg(F.min("rep").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     stars = buckets.join(least, "band").filter("rep > low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
@@ -240,6 +245,8 @@ def near_duplicate_groups(docs: DataFrame, num: int = 85, den: int = 100, shingl
     texts = (base.join(clusters.select(F.col("rep").alias("doc_id")), "doc_id")
              .select(F.col("doc_id").alias("rep"), "text")
              .mapInArrow(_full_sets(shingle_words), "rep long, set_hi long, set_lo long, shingles binary"))
+    if repeated:        # a cell holds a document once, however often its row is repeated
+        texts = texts.dropDuplicates(["rep", "set_hi", "set_lo"])
     dealt = (members.join(width, "component").join(texts, ["rep", "set_hi", "set_lo"])
              .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks").cast("int") - 1)))

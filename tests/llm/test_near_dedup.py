@@ -91,3 +91,14 @@ def test_one_of_each_group_keeps_columns(spark):
 def test_pruning_bound(hashes):
     limits = nd.min_matches(0.85, hashes)
     assert limits == sorted(limits) and 0 < limits[0] <= nd.BATCH and limits[-1] < 0.85 * hashes
+
+
+def test_a_member_repeated_many_times_stands_once_in_its_cell(spark):
+    base = words(5, 120).split()
+    rows = [(i, " ".join(base[:i] + ["x%d" % i] + base[i + 1:])) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    many = docs.filter("doc_id = 3").crossJoin(spark.range(20000).select("id")).drop("id")
+    out = nd.near_duplicate_groups(docs.unionByName(many))
+    want = brute(rows)
+    got = {(r["doc_id"], r["n_shingles"], r["component_id"]): r["count"] for r in out.groupBy("doc_id", "n_shingles", "component_id").count().collect()}
+    assert got == {(d, n, c): 20001 if d == 3 else 1 for d, (n, c) in want.items()}
