@@ -14,7 +14,8 @@ Beside the verdict each text gets the plain counts a rule set starts from:
 words, code points in words, symbols, repeated lines, and words inside
 three-word windows that occur twice or more.  Null and empty texts have no
 words, ratio null and fail the word minimum.  Every row comes back once per
-input row; other columns are ignored.  Work is one map over the rows.
+input row, repeated ones too; an empty table gives no rows.  Very long texts are
+read whole.  Other columns are ignored.  Work is one map over the rows.
 """
 
 from __future__ import annotations

@@ -13,8 +13,9 @@ Training uses at most :data:`PER_CLASS` labelled texts per class (the documented
 sample bound), taken by id hash, so reruns give the same tables.  With one
 class missing from them the score is that share everywhere.
 
-Null and empty texts have all ratios 0 and are scored like any other.  Every row
-comes back; only ``text`` enters the score.
+Null and empty texts have all ratios 0 and are scored like any other; very long
+ones are read whole.  Every row comes back, repeated ones too; an empty table
+gives no rows.  Only ``text`` enters the score.
 """
 
 from __future__ import annotations

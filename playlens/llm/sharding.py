@@ -13,7 +13,8 @@ holds a shard.  Identical rows are counted first and expanded afterwards, so a
 key repeated any number of times stays in one row until then.
 
 A null key is the key of the text ``null``; a null text has no bytes (size 1,
-crc 0).  Repeated rows get slots of their own.  Other columns are ignored.
+crc 0).  Repeated rows get slots of their own.  Very long texts count by their bytes alone.
+An empty table gives no rows.  Other columns are ignored.
 """
 
 from __future__ import annotations

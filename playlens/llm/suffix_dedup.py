@@ -29,8 +29,8 @@ Two results come out for every document: all copies of a duplicate removed
 
 Null and empty texts have no bytes and lose none.  Rows repeated under one id are
 copies like any other.  If one id stands for several texts, or is null, the
-copies' order goes by a hash of the text instead of the id.  Other columns are
-ignored.
+copies' order goes by a hash of the text instead of the id.  An empty table gives no rows.
+Other columns are ignored.
 """
 
 from __future__ import annotations

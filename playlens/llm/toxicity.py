@@ -15,7 +15,8 @@ a fixed order, so reruns give the same weights.
 
 A text without words (null, empty, blank) scores the training share of label 1,
 at most 0.49.  With one class missing from the training rows every text scores
-that share.  Every row comes back; only ``text`` enters the score.
+that share; without any (an empty ``labels``) the share is 0.  Every row comes
+back, repeated ones too; an empty table gives no rows.  Only ``text`` enters the score.
 """
 
 from __future__ import annotations
