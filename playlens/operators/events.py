@@ -57,33 +57,38 @@ def filter_event_type(log: DataFrame, types: list[str] | None = None) -> DataFra
 
 def filter_denylist(log: DataFrame, deny: DataFrame, pattern_col: str = "pattern",
                     text_col: str = "name", mode: str = "literal",
-                    known_max: int | None = None) -> DataFrame:
+                    known_max: int | None = None, nested_pairs: int = params.NESTED_LOOP_PAIRS) -> DataFrame:
     """Drop log rows whose sentence contains any deny-list entry (C1, anti theta-join).
 
     ``mode="literal"`` matches entries as plain substrings; ``mode="regex"``
     treats them as unanchored regular expressions, like an alternation of all
-    entries.  A null sentence is dropped too.  A deny-list of checked size is
-    broadcast to a nested-loop anti join (no shuffle of the log).  A larger
-    literal list goes through the exact gram-indexed join; a larger list of
+    entries.  A null sentence is dropped too.  The plan follows the cost: a
+    deny-list of a few hundred entries (``known_max``, a bound the caller proves, or
+    counted), or rows x entries up to ``nested_pairs``, is broadcast to a nested-loop
+    anti join (no shuffle of the log).  A larger literal list goes through the
+    exact gram-indexed join, keyed by each entry's rarest gram; a larger list of
     regular expressions, or for a stream, is taken in blocks of bounded size,
-    one anti join each.  ``known_max`` is a size bound the caller proves (a
-    list built from constants); without it the deny-list rows are counted.
+    one anti join each.
     """
     pats = deny.select(F.col(pattern_col).alias("_deny")).filter(
         F.col("_deny").isNotNull() & (F.length("_deny") > 0))
     text = F.col(text_col)
     live = log.filter(text.isNotNull())
     cond = F.expr(f"`{text_col}` RLIKE _deny") if mode == "regex" else text.contains(F.col("_deny"))
-    limit = params.BROADCAST_ROW_LIMIT
-    if (known_max is not None and known_max <= limit) or row_count_at_most(pats, limit):
+    few, limit = params.NESTED_LOOP_PATTERNS, params.BROADCAST_ROW_LIMIT
+    if (known_max is not None and known_max <= few) or row_count_at_most(pats, few):
         return live.join(F.broadcast(pats), cond, "left_anti")
-    if mode == "regex" or log.isStreaming:
-        n_blocks = -(-2 * pats.count() // limit)        # hash blocks of half the limit on average
+    n = pats.count()
+    by_block = mode == "regex" or log.isStreaming
+    if n <= limit and (by_block or row_count_at_most(live, nested_pairs // n)):
+        return live.join(F.broadcast(pats), cond, "left_anti")
+    if by_block:
+        n_blocks = -(-2 * n // limit)        # hash blocks of half the limit on average
         block = F.pmod(F.xxhash64("_deny"), F.lit(n_blocks))
         for b in range(n_blocks):
             live = live.join(F.broadcast(pats.filter(block == b)), cond, "left_anti")
         return live
-    hits = contains_matches(live.select(text_col), text_col, pats, "_deny").select(text_col).distinct()
+    hits = contains_matches(live.select(text_col), text_col, pats, "_deny", rarest=True).select(text_col).distinct()
     return live.join(hits, text_col, "left_anti")
 
 

@@ -13,6 +13,12 @@ broadcast (checked by the caller); beyond that we index by grams:
 Every occurrence of a pattern starts at a position whose first ``g``
 characters equal the pattern's key, so no match is lost and no candidate is
 capped.  Texts are de-duplicated before exploding (log sentences repeat).
+
+``rarest`` takes as a pattern's key its gram that the fewest texts hold, wherever
+it stands in the pattern: a text that holds the pattern holds all its grams.
+Gram counts come from the texts themselves, by an aggregate with a partial
+phase, and a pattern with a gram that no text holds drops out at once.  Common
+beginnings (all patterns and all texts starting alike) then cost nothing.
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens import params
+from playlens.operators.barrier import materialize
 
 
 def row_count_at_most(df: DataFrame, limit: int) -> bool:
@@ -43,16 +50,18 @@ def broadcast_if_small(df: DataFrame, known_max: int | None = None,
 
 
 def contains_matches(texts: DataFrame, text_col: str, patterns: DataFrame, pattern_col: str,
-                     gram: int = 3, lower: bool = False) -> DataFrame:
+                     gram: int = 3, lower: bool = False, rarest: bool = False) -> DataFrame:
     """Distinct ``(text, pattern)`` pairs where ``text`` contains ``pattern``.
 
-    ``lower`` compares case-insensitively (both sides lower-cased, the output
+    ``rarest`` joins on each pattern's rarest gram instead of its first.  ``lower`` compares case-insensitively (both sides lower-cased, the output
     keeps the original strings).  Null and empty patterns match nothing.
     """
     norm = (lambda c: F.lower(c)) if lower else (lambda c: c)
     hay = (texts.select(F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull()).distinct()
            .withColumn("_tnorm", norm(F.col("_text"))))
-    met = _met(hay, patterns, pattern_col, gram, norm)
+    if rarest:
+        hay = materialize(hay)      # read for the gram counts and for the join
+    met = _met(hay, patterns, pattern_col, gram, norm, rarest)
     if met is None:
         return texts.sparkSession.createDataFrame([], f"`{text_col}` string, `{pattern_col}` string")
     return met.select(F.col("_text").alias(text_col), F.col("_pattern").alias(pattern_col)).distinct()
@@ -77,7 +86,26 @@ def first_containing(items: DataFrame, text_col: str, order_col: str, values: li
     return found.select(pattern_col, *[F.col(f"_first.{v}").alias(v) for v in values])
 
 
-def _met(hay: DataFrame, patterns: DataFrame, pattern_col: str, gram: int, norm) -> DataFrame | None:
+def _grams(text: str, g: int):
+    """The distinct ``g``-grams of a text column."""
+    return F.array_distinct(F.transform(
+        F.filter(F.sequence(F.lit(1), F.greatest(F.length(text) - g + 1, F.lit(1))), lambda i: i + g - 1 <= F.length(text)),
+        lambda i: F.substring(F.col(text), i, g)))
+
+
+def _rarest_keys(pats: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """``pats`` with their rarest gram as ``_key``; patterns with a gram that no text holds are left out."""
+    counts = grams.groupBy("_g", "_key").agg(F.count(F.lit(1)).alias("_texts"))
+    parts = None
+    for g in lengths:
+        one = pats.filter(F.col("_g") == g).withColumn("_key", F.explode(_grams("_pnorm", g)))
+        parts = one if parts is None else parts.unionByName(one)
+    rated = parts.join(counts, ["_g", "_key"], "left").withColumn("_texts", F.coalesce("_texts", F.lit(0)))
+    return (rated.groupBy("_pattern", "_pnorm", "_g").agg(F.min_by("_key", F.struct("_texts", "_key")).alias("_key"), F.min("_texts").alias("_texts"))
+            .filter("_texts > 0").drop("_texts"))
+
+
+def _met(hay: DataFrame, patterns: DataFrame, pattern_col: str, gram: int, norm, rarest: bool = False) -> DataFrame | None:
     """Rows of ``hay`` (with ``_tnorm``) joined to the patterns they contain; None without patterns."""
     pats = (
         patterns.select(F.col(pattern_col).alias("_pattern"))
@@ -94,10 +122,9 @@ def _met(hay: DataFrame, patterns: DataFrame, pattern_col: str, gram: int, norm)
         return None
     grams = None
     for g in sorted(per_length):
-        one = hay.withColumn("_g", F.lit(g)).withColumn("_key", F.explode(F.array_distinct(F.transform(
-            F.filter(F.sequence(F.lit(1), F.greatest(F.length("_tnorm") - g + 1, F.lit(1))),
-                     lambda i: i + g - 1 <= F.length("_tnorm")),
-            lambda i: F.substring(F.col("_tnorm"), i, g)))))
+        one = hay.withColumn("_g", F.lit(g)).withColumn("_key", F.explode(_grams("_tnorm", g)))
         grams = one if grams is None else grams.unionByName(one)
+    if rarest:
+        pats = materialize(_rarest_keys(pats, grams, sorted(per_length)))
     pats = broadcast_if_small(pats, known_max=sum(per_length.values()))
     return grams.join(pats, ["_g", "_key"]).filter(F.col("_tnorm").contains(F.col("_pnorm")))

@@ -521,6 +521,9 @@ SELECT pull, CASE WHEN pull < 10 THEN '0' ELSE '' END || CAST(pull AS VARCHAR) A
 FROM (SELECT DISTINCT id % 1300 AS pull FROM playback_log) p""")
 register("filter_denylist_regex", """
 SELECT id, user_id, name FROM playback WHERE name IS NOT NULL AND NOT regexp_matches(name, 'CCTV5+|HD')""")
+register("filter_denylist_parts", """
+SELECT id, user_id, name FROM playback p WHERE name IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM part d WHERE contains(p.name, d.p_name || ' ' || CAST(d.p_partkey - d.p_partkey % 2 AS VARCHAR) || ' '))""")
 register("time_range_mid_data", f"""
 SELECT id, {TS}, media_name FROM media_events
 WHERE date BETWEEN TIMESTAMP '2024-01-20 00:00:00' - INTERVAL 1 WEEK AND TIMESTAMP '2024-01-20 00:00:00'""")

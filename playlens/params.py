@@ -46,6 +46,9 @@ KIND_MOVIE = "movie"
 
 # Upper bound (rows) for sides we broadcast after checking their size.
 BROADCAST_ROW_LIMIT = 100_000
+# Rows x patterns up to which a text search may be a nested loop, and patterns up to which it may whatever the rows.
+NESTED_LOOP_PAIRS = 10_000_000
+NESTED_LOOP_PATTERNS = 500
 # A bounded list of at most so many names is turned into a pushed-down filter.
 FILTER_NAMES = 100
 # Items per envelope document written by the envelope sink.

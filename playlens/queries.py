@@ -791,6 +791,15 @@ def filter_denylist_regex(spark, sf_dir):
                               known_max=len(tb.DENYLIST_PATTERNS)).select("id", "user_id", "name")
 
 
+@query
+def filter_denylist_parts(spark, sf_dir):
+    """A deny-list of one entry per part, beyond a nested loop from sf0.01 on."""
+    v = Views(spark, sf_dir)
+    even = F.col("p_partkey") - F.col("p_partkey") % 2
+    deny = v.t.part.select(F.concat("p_name", F.lit(" "), even.cast("string"), F.lit(" ")).alias("pattern"))
+    return ev.filter_denylist(ev.filter_event_type(v.log), deny).select("id", "user_id", "name")
+
+
 @query
 def time_range_mid_data(spark, sf_dir):
     """A week that ends inside the data."""

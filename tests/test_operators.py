@@ -191,3 +191,28 @@ def test_recommend_movies_can_leave_out_watched_titles(spark):
                                  v.catalogue, v.english, v.genres)
     watched_en = {r.english_title for r in details.collect()} | watched
     assert not ({r.title for r in fresh.collect()} & watched_en)
+
+
+def test_rarest_gram_join_equals_plain_contains(spark):
+    from playlens.operators.textjoin import contains_matches
+    texts = [f"user is playing common beginning {i} on tv" for i in range(60)] + ["ab", "", None, "AbC abc", "a"]
+    patterns = [f"common beginning {i} " for i in range(0, 60, 7)] + ["common", "b", "ab", "zzz", "nothing of this kind", "", None, "user is playing common beginning 5", "bc a"]
+    t = spark.createDataFrame([(x,) for x in texts], "t string")
+    p = spark.createDataFrame([(x,) for x in patterns], "p string")
+    want = sorted({(x, y) for x in texts if x for y in patterns if y and y in x})
+    for rarest in (False, True):
+        assert sorted(tuple(r) for r in contains_matches(t, "t", p, "p", rarest=rarest).collect()) == want
+    lowered = sorted({(x, y) for x in texts if x for y in patterns if y and y.lower() in x.lower()})
+    assert sorted(tuple(r) for r in contains_matches(t, "t", p, "p", lower=True, rarest=True).collect()) == lowered
+
+
+def test_large_denylist_has_no_nested_loop(spark):
+    from playlens import params
+    log = spark.createDataFrame([(i, f"u is playing T{i} on tv") for i in range(300)] + [(999, None)], "id long, name string")
+    deny = spark.createDataFrame([(f" T{i} ",) for i in range(0, 1400, 2)], "pattern string")
+    assert deny.count() > params.NESTED_LOOP_PATTERNS
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    small, large = ev.filter_denylist(log, deny), ev.filter_denylist(log, deny, nested_pairs=0)
+    assert "BroadcastNestedLoopJoin" in plan(small) and "NestedLoop" not in plan(large) and "Cartesian" not in plan(large)
+    want = sorted(i for i in range(300) if i % 2)
+    assert sorted(r["id"] for r in small.collect()) == sorted(r["id"] for r in large.collect()) == want
