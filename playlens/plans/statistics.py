@@ -53,15 +53,17 @@ def chart_table(stats: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     )
 
 
-def view_statistics_english(stats: DataFrame, catalogue: DataFrame, cache: DataFrame) -> DataFrame:
+def view_statistics_english(stats: DataFrame, catalogue: DataFrame, cache: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """Ranked statistics with the English title of each title's catalogue item.
 
     The search and the lookup join on the ranked frame itself, so a failed
     lookup leaves a null title in its own row instead of shifting names
-    against counts.
+    against counts.  ``found`` (``title, english_title, status``) gives the titles
+    that were searched before.
     """
     from playlens.operators import catalogue as cat
 
-    found = cat.english_titles(cat.search_catalogue(stats.select("title"), catalogue), cache)
+    if found is None:
+        found = cat.english_titles(cat.search_catalogue(stats.select("title"), catalogue), cache)
     return stats.join(found.select("title", "english_title", "status"), "title", "left").select(
         "kind", "title", "views", "rank", "english_title", "status")

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,9 @@ MARK_SCHEMA = "mark bigint"
 VERSIONED = ("mark", "stats", "chart", "genre_counts", "movie_recommendations", "series_recommendations")
 STATS_SCHEMA = "kind string, title string, views bigint, rank int"
 CHART_SCHEMA = "panel string, panel_title string, position int, label string, views bigint"
+TITLE_BUCKETS = 8
+RESOLVED_SCHEMA = ("title string, item_id bigint, item_type string, item_title string, tmdb_id string, english_title string, "
+                   "status string, genres array<string>")
 RECS_SCHEMA = "rank int, title string, genres string, hits bigint"
 
 
@@ -306,6 +310,10 @@ class PlaybackBatchJob:
     ``retain`` drops stored days before the range start less so many days;
     ``close_after`` rewrites days as one file set each when they are so many
     days older than the newest event (:func:`state.compact_days`).
+
+    The catalogue is static while the job runs, so a title is searched once: new
+    titles of a batch are resolved and kept in a first-wins table of the job,
+    and batches without new titles search nothing.  A restarted job resolves anew.
     """
 
     root: str
@@ -321,6 +329,7 @@ class PlaybackBatchJob:
     retain: int | None = None
     close_after: int | None = None
     _static_ready: bool = False
+    _titles: str = field(default_factory=lambda: f"resolved_titles/{uuid.uuid4().hex[:12]}")
 
     def _static(self) -> None:
         """Catalogue, genre links and lookup are static: derive them once per job."""
@@ -352,14 +361,13 @@ class PlaybackBatchJob:
             stats = state.read_version(spark, self.root, "stats", batch_id, _schema(STATS_SCHEMA))
             self._tidy(spark, as_of, batch_id)
             # English titles and the chart of the same statistics
-            english = st.view_statistics_english(stats, self.catalogue, self.cache)
+            titled = ev.with_kind(ev.user_history(fresh, self.user_id)).select("kind", "title").distinct()
+            known = self._resolved(spark, stats.select("title").unionByName(titled.select("title")), batch_id)
+            english = st.view_statistics_english(stats, self.catalogue, self.cache, known)
             labels = english.select("kind", "title", F.col("english_title").alias("label"))
             state.write_version(st.chart_table(english, labels), self.root, "chart", batch_id)
             # movie recommendations with running genre counts
-            # one catalogue search for the user's titles of both kinds
-            titled = ev.with_kind(ev.user_history(fresh, self.user_id)).select("kind", "title").distinct()
-            resolved = materialize(rec.resolve_titles(titled.select("title"), self.catalogue, self.cache,
-                                                      self.genre_links).join(titled, "title"))
+            resolved = materialize(known.join(titled, "title"))
             movies = rec.usable(resolved.filter(F.col("kind") == params.KIND_MOVIE))
             if movies.isEmpty():
                 # no new movie of the user: counts and recommendations stay as they were
@@ -398,6 +406,16 @@ class PlaybackBatchJob:
             for name in VERSIONED:
                 state.drop_old_versions(spark, self.root, name, self.keep_versions)
 
+    def _resolved(self, spark: SparkSession, titles: DataFrame, batch_id: int) -> DataFrame:
+        """The resolved rows of every title searched so far, those of ``titles`` among them."""
+        schema = _schema(RESOLVED_SCHEMA)
+        held = state.read_first_wins(spark, self.root, self._titles, schema, before=batch_id)
+        new = materialize(titles.filter(F.col("title").isNotNull()).distinct().join(held.select("title"), "title", "left_anti"))
+        if not new.isEmpty():
+            rows = rec.resolve_titles(new, self.catalogue, self.cache, self.genre_links)
+            state.append_first_wins(rows.select(*schema.names), self.root, self._titles, "title", batch_id, TITLE_BUCKETS)
+        return state.read_first_wins(spark, self.root, self._titles, schema, before=batch_id + 1).drop("bucket")
+
     def _tidy(self, spark: SparkSession, as_of, batch_id: int) -> None:
         """Closed days become one file set each, days before the range go; batch ``batch_id`` itself stays open for a replay."""
         if self.close_after is not None and (newest := state.newest_event(spark, self.root)) is not None:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from playlens.operators import events as ev
+from playlens.plans import recommend as rec
 from playlens.queries import Views, spoiled_documents
 from playlens.schemas import TITLE_GENRES
 from playlens.sources import csvio
@@ -84,14 +85,22 @@ def test_a_compaction_that_stopped_before_its_deletes(spark, monkeypatch):
     assert state.newest_event(spark, _root()) is None
 
 
-def test_driver_closes_and_drops_days_and_gives_the_same_statistics(spark):
+def test_driver_closes_and_drops_days_searches_titles_once_and_gives_the_same_results(spark, monkeypatch):
     v = Views(spark, SF_SMALL)
     plain, tidy = _root(), _root()
+    asked, resolve = {plain: [], tidy: []}, rec.resolve_titles
+
+    def counting(titles, *args, **options):
+        if not options.get("catalogue_titles"):
+            asked[root] += [r["title"] for r in titles.collect()]
+        return resolve(titles, *args, **options)
+    monkeypatch.setattr(rec, "resolve_titles", counting)
     for root, options in ((plain, {}), (tidy, {"close_after": 3, "retain": 2})):
         job = jobs.PlaybackBatchJob(root, None, v.catalogue, v.english, v.genres, v.genre_lookup, "1", time_range="week", **options)
         replay_pulls(v.log, root, lambda src: jobs.run_available(jobs.media_stream(spark, src, v.deny), f"{root}/ckpt", process=job))
     for name in ("stats", "chart", "movie_recommendations", "series_recommendations"):
         assert sorted(map(str, latest_version(spark, tidy, name).collect())) == sorted(map(str, latest_version(spark, plain, name).collect()))
+    assert all(titles and len(titles) == len(set(titles)) for titles in asked.values())
     newest = state.newest_event(spark, tidy)
     first = min(d for path in (state.history_path(tidy), state.closed_path(state.history_path(tidy))) for d, _, _ in state._leaves(spark, path))
     assert first >= str((newest - dt.timedelta(days=7 + 2)).date())
