@@ -18,7 +18,10 @@ capped.  Texts are de-duplicated before exploding (log sentences repeat).
 it stands in the pattern: a text that holds the pattern holds all its grams.
 Gram counts come from the texts themselves, by an aggregate with a partial
 phase, and a pattern with a gram that no text holds drops out at once.  Common
-beginnings (all patterns and all texts starting alike) then cost nothing.
+beginnings (all patterns and all texts starting alike) then cost nothing.  Its
+grams are as long as the largest of :data:`LONG_GRAMS` that fits the pattern: short
+ones (three digits of a number) are held by a fixed share of all texts, so their
+candidates grow with texts x patterns.  They are compared by hash; ``contains`` confirms.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from pyspark.sql import functions as F
 from playlens import params
 from playlens.operators.barrier import materialize
 
+LONG_GRAMS = (16, 8, 4, 2, 1)
+
 
 def row_count_at_most(df: DataFrame, limit: int) -> bool:
     """True when ``df`` has at most ``limit`` rows (reads at most limit+1 rows)."""
@@ -53,7 +58,7 @@ def contains_matches(texts: DataFrame, text_col: str, patterns: DataFrame, patte
                      gram: int = 3, lower: bool = False, rarest: bool = False) -> DataFrame:
     """Distinct ``(text, pattern)`` pairs where ``text`` contains ``pattern``.
 
-    ``rarest`` joins on each pattern's rarest gram instead of its first.  ``lower`` compares case-insensitively (both sides lower-cased, the output
+    ``rarest`` joins on each pattern's rarest long gram instead of its first ``gram`` characters.  ``lower`` compares case-insensitively (both sides lower-cased, the output
     keeps the original strings).  Null and empty patterns match nothing.
     """
     norm = (lambda c: F.lower(c)) if lower else (lambda c: c)
@@ -98,7 +103,7 @@ def _rarest_keys(pats: DataFrame, grams: DataFrame, lengths: list[int]) -> DataF
     counts = grams.groupBy("_g", "_key").agg(F.count(F.lit(1)).alias("_texts"))
     parts = None
     for g in lengths:
-        one = pats.filter(F.col("_g") == g).withColumn("_key", F.explode(_grams("_pnorm", g)))
+        one = pats.filter(F.col("_g") == g).withColumn("_key", F.explode(_grams("_pnorm", g))).withColumn("_key", F.xxhash64("_key"))
         parts = one if parts is None else parts.unionByName(one)
     rated = parts.join(counts, ["_g", "_key"], "left").withColumn("_texts", F.coalesce("_texts", F.lit(0)))
     return (rated.groupBy("_pattern", "_pnorm", "_g").agg(F.min_by("_key", F.struct("_texts", "_key")).alias("_key"), F.min("_texts").alias("_texts"))
@@ -112,17 +117,20 @@ def _met(hay: DataFrame, patterns: DataFrame, pattern_col: str, gram: int, norm,
         .filter(F.col("_pattern").isNotNull() & (F.length("_pattern") > 0))
         .distinct()
         .withColumn("_pnorm", norm(F.col("_pattern")))
-        .withColumn("_g", F.least(F.length("_pnorm"), F.lit(gram)))
+        .withColumn("_g", F.coalesce(*[F.when(F.length("_pnorm") >= g, F.lit(g)) for g in LONG_GRAMS]) if rarest
+                    else F.least(F.length("_pnorm"), F.lit(gram)))
         .withColumn("_key", F.substring("_pnorm", 1, gram))
     )
-    # One small job: which gram lengths are needed (at most ``gram`` values)
-    # and how many patterns there are (decides the broadcast).
+    # One small job: which gram lengths are needed (at most ``gram`` values, or five long
+    # ones) and how many patterns there are (decides the broadcast).
     per_length = {r[0]: r[1] for r in pats.groupBy("_g").count().collect()}
     if not per_length:
         return None
     grams = None
     for g in sorted(per_length):
         one = hay.withColumn("_g", F.lit(g)).withColumn("_key", F.explode(_grams("_tnorm", g)))
+        if rarest:
+            one = one.withColumn("_key", F.xxhash64("_key"))
         grams = one if grams is None else grams.unionByName(one)
     if rarest:
         pats = materialize(_rarest_keys(pats, grams, sorted(per_length)))

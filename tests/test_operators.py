@@ -216,3 +216,15 @@ def test_large_denylist_has_no_nested_loop(spark):
     assert "BroadcastNestedLoopJoin" in plan(small) and "NestedLoop" not in plan(large) and "Cartesian" not in plan(large)
     want = sorted(i for i in range(300) if i % 2)
     assert sorted(r["id"] for r in small.collect()) == sorted(r["id"] for r in large.collect()) == want
+
+
+def test_long_numbers_of_other_texts_keep_no_pattern(spark, monkeypatch):
+    """Digits that many texts hold in other numbers make no candidates: such patterns drop out before the join."""
+    from playlens.operators import textjoin
+    kept = []
+    monkeypatch.setattr(textjoin, "materialize", lambda df: kept.append(df) or df)
+    t = spark.createDataFrame([(f"user_{1000 + i} is playing hot bolt {i % 20} on tv",) for i in range(400)], "t string")
+    p = spark.createDataFrame([(f"hot bolt {n} ",) for n in (7, *range(1000, 1400, 2))], "p string")
+    got = textjoin.contains_matches(t, "t", p, "p", rarest=True)
+    assert {r["p"] for r in got.collect()} == {"hot bolt 7 "} and got.count() == 20
+    assert [r["_pattern"] for r in kept[1].collect()] == ["hot bolt 7 "]
