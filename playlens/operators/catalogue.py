@@ -107,13 +107,14 @@ def english_titles(found: DataFrame, cache: DataFrame, known_max: int | None = N
 
     ``status``: ok (from the cache), unresolved (id not cached: the catalogue
     title stands in), no_tmdb_id, no_item.  Only cache entries of wanted ids
-    are aggregated; ``known_max`` bounds the rows of ``found`` (a top-k list).
+    are aggregated, broadcast up to the bound; ``known_max`` bounds the rows of ``found`` (a top-k list).
     Rows without an id are spread by item, so they never meet in one task.
     """
     keys = _cache_keys(cache)
     wanted = found.filter(F.col("tmdb_id").isNotNull()).select(*keys).distinct()
-    if known_max is not None:
-        wanted = broadcast_if_small(wanted, known_max)
+    if known_max is None:
+        wanted = materialize(wanted)        # counted and joined
+    wanted = broadcast_if_small(wanted, known_max)      # so that the cache is filtered before it is shuffled
     typed = cache.withColumn("tmdb_id", F.col("tmdb_id").cast("string"))
     lookup = english_lookup(typed.join(wanted, keys, "left_semi")).withColumnRenamed("tmdb_id", "_en_id")
     tmdb = F.col("tmdb_id")

@@ -46,7 +46,8 @@ def resolve_titles(titles: DataFrame, catalogue: DataFrame, cache: DataFrame,
     if catalogue_titles:
         found = cat.search_exact(titles, catalogue, known_max=known_max)
     else:
-        found = cat.search_catalogue(titles, catalogue)
+        # read for the wanted ids, the wanted items and the rows themselves: the search runs once
+        found = materialize(cat.search_catalogue(titles, catalogue))
     return cat.with_genres(cat.english_titles(found, cache, known_max), genre_links, known_max)
 
 

@@ -228,3 +228,19 @@ def test_long_numbers_of_other_texts_keep_no_pattern(spark, monkeypatch):
     got = textjoin.contains_matches(t, "t", p, "p", rarest=True)
     assert {r["p"] for r in got.collect()} == {"hot bolt 7 "} and got.count() == 20
     assert [r["_pattern"] for r in kept[1].collect()] == ["hot bolt 7 "]
+
+
+def test_title_cache_is_filtered_before_its_shuffle(spark):
+    """The wanted ids are broadcast to the cache, whatever Spark knows of their size."""
+    from playlens.operators import catalogue as cat
+    found = spark.createDataFrame([("a", 1, "Movie", "a", "11"), ("b", 2, "Movie", "b", None), ("c", 3, "Movie", "c", "13")],
+                                  "title string, item_id long, item_type string, item_title string, tmdb_id string")
+    cache = spark.createDataFrame([("11", "EN a"), ("12", "EN x")], "tmdb_id string, title string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = cat.english_titles(found, cache)
+        assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+        assert {(r.title, r.english_title, r.status) for r in got.collect()} == {("a", "EN a", "ok"), ("b", None, "no_tmdb_id"), ("c", "c", "unresolved")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
